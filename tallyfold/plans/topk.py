@@ -27,7 +27,7 @@ def top_per_group(
     return (
         salted.withColumn("_place", F.row_number().over(per_salt))
         .where(F.col("_place") <= n)
-        .withColumn(rank, F.row_number().over(per_group))
+        .withColumn(rank, F.row_number().over(per_group).cast("bigint"))
         .where(F.col(rank) <= n)
         .drop("_salt", "_place")
     )

@@ -9,8 +9,6 @@ from pyspark.sql import types as T
 from tallyfold import schemas as S
 
 STORAGE_MODES = ("unpartitioned", "partitioned")
-# A hot queue or day is spread over this many tasks while it is written.
-WRITE_SPREAD = 32
 
 
 class SchemaMismatch(ValueError):
@@ -23,12 +21,11 @@ def write_history(
     storage_mode: str = "unpartitioned",
     day_of: str = "ts",
     mode: str = "append",
-    spread: int = WRITE_SPREAD,
 ) -> None:
     """Append rows by queue, or by queue and day.
 
-    Rows are first grouped by their partition and a hash slot, so that a write makes at
-    most ``spread`` files per partition and a hot queue is not left to one task.
+    The rebalance hint gathers the rows of a partition into few files, while adaptive
+    execution still splits a hot queue over as many tasks as its size needs.
     """
     if storage_mode not in STORAGE_MODES:
         raise ValueError(f"storage_mode must be one of {STORAGE_MODES}")
@@ -37,9 +34,7 @@ def write_history(
     if storage_mode == "partitioned":
         rows = rows.withColumn("day", F.to_date(day_of))
         parts.append("day")
-    slot = F.pmod(F.xxhash64(*[c for c in df.columns if c in ("task_id", "seq")]), F.lit(spread))
-    spread_out = rows.repartition(*parts, slot)
-    spread_out.write.mode(mode).partitionBy(*parts).parquet(path)
+    rows.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).parquet(path)
 
 
 def read_history(
