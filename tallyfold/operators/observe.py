@@ -124,13 +124,13 @@ def active_runs(
     changes = (
         runs.select(*keys, F.explode(points).alias("_p"))
         .where(F.col("_p.at").isNotNull())
-        .groupBy(*keys, F.col("_p.at").alias("at"))
+        .groupBy(*keys, F.col("_p.at").alias("changed_at"))
         .agg(F.sum("_p.change").alias("change"))
     )
     rows = windowed(
         changes,
         keys,
-        ["at"],
+        ["changed_at"],
         sums={"active": F.col("change")},
         rows_per_segment=rows_per_segment,
     )

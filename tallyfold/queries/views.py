@@ -126,7 +126,7 @@ VIEWS = {
     "task_requests": """
         SELECT concat('q', CAST(user_id % 4 AS STRING)) AS queue,
                md5(CAST(user_id AS STRING)) AS task_id, event_type, ts, event_id AS seq,
-               props AS payload, CAST(value * 1000 AS BIGINT) AS milliseconds
+               props AS payload, CAST(round(value * 100) AS BIGINT) * 10 AS milliseconds
         FROM events""",
 }
 
