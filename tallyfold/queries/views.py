@@ -138,12 +138,13 @@ _VIEW_TABLES = {
 }
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of ``VIEWS`` as a DataFrame."""
+def view(spark: SparkSession, sf_dir: str, name: str, **tables: DataFrame) -> DataFrame:
+    """One of ``VIEWS`` as a DataFrame; ``tables`` replaces given tables, say by streams."""
     body = VIEWS[name]
     for word, spark_word in _SPARK_WORDS.items():
         body = body.replace(word, spark_word)
-    tables = {t: read(spark, sf_dir, t) for t in _VIEW_TABLES[name]}
+    for t in _VIEW_TABLES[name]:
+        tables.setdefault(t, read(spark, sf_dir, t))
     for t in tables:
         body = _reference(body, t)
     return spark.sql(body, **tables)

@@ -6,39 +6,61 @@ from pyspark.sql import types as T
 
 SCHEMA_VERSION = "0.5.0"
 
-RETRY_STRATEGY = T.StructType.fromDDL(
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "map": T.MapType(T.StringType(), T.StringType()),
+}
+
+
+def struct(columns: str) -> T.StructType:
+    """A flat schema from ``name type`` pairs; works before a session exists."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+def copy_of(schema: T.StructType) -> T.StructType:
+    """A copy, since ``StructType.add`` changes the schema it is called on."""
+    return T.StructType(list(schema.fields))
+
+
+RETRY_STRATEGY = struct(
     "kind string, base_seconds double, factor double, max_seconds double"
 )
-FAILURE = T.StructType.fromDDL("name string, message string, stacktrace string")
+FAILURE = struct("name string, message string, stacktrace string")
 
-REQUESTS = T.StructType.fromDDL(
+REQUESTS = struct(
     "request_id string, queue string, task_name string, idempotency_key string, params string, "
-    "headers map<string,string>, max_attempts int, requested_at timestamp"
+    "headers map, max_attempts int, requested_at timestamp"
 )
-TASKS = T.StructType.fromDDL(
+TASKS = struct(
     "queue string, task_id string, run_id string, attempt int, created boolean"
 )
-TRANSITIONS = T.StructType.fromDDL(
+TRANSITIONS = struct(
     "queue string, task_id string, run_id string, attempt int, max_attempts int, "
     "task_name string, op string, ts timestamp, seq long, payload string, "
     "wake_at timestamp, lease_s long, event_name string"
 )
-CHECKPOINTS = T.StructType.fromDDL(
+CHECKPOINTS = struct(
     "task_id string, checkpoint_name string, state string, status string, "
     "owner_run_id string, updated_at timestamp"
 )
-EVENTS = T.StructType.fromDDL(
+EVENTS = struct(
     "queue string, event_name string, payload string, emitted_at timestamp, seq long"
 )
-WAITS = T.StructType.fromDDL(
+WAITS = struct(
     "wait_id string, queue string, task_id string, run_id string, step_name string, "
     "event_name string, wait_ts timestamp, timeout_s long"
 )
-POLICIES = T.StructType.fromDDL(
+POLICIES = struct(
     "queue string, storage_mode string, partition_lookahead string, partition_lookback string, "
     "cleanup_ttl string, cleanup_limit int, detach_mode string, detach_min_age string"
 )
-SPANS = T.StructType.fromDDL(
+SPANS = struct(
     "span_id string, component string, operation string, phase string, ts timestamp, "
     "outcome string, error_kind string"
 )
