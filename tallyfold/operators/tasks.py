@@ -263,7 +263,8 @@ def durable_step(
     """Map ``params`` through a function whose successes are kept under ``name``.
 
     Rows with a committed checkpoint take its value and are not run; failed rows leave
-    none and run again next time. Adds ``checkpoint_name``, ``value`` and ``done``.
+    none and run again next time. Adds ``checkpoint_name``, ``value`` and ``done``. A lost
+    job loses only its unfinished tasks, so more ``partitions`` keep more of it.
     """
     spark = rows.sparkSession
     steps = rows.withColumn("checkpoint_name", F.lit(name))
