@@ -15,10 +15,13 @@ def resolve_waits(waits: DataFrame, events: DataFrame, now: Column) -> DataFrame
     The event may precede the wait. An event at the deadline comes too late; a null
     timeout never ends. Rows after ``now`` are not visible yet.
     """
-    known = first_events(events, now).select(
-        "queue", "event_name", "payload", F.col("emitted_at").alias("_event_at")
-    )
-    joined = until(waits, now, "wait_ts").join(known, ["queue", "event_name"], "left")
+    return decide(until(waits, now, "wait_ts"), first_events(events, now), now)
+
+
+def decide(waits: DataFrame, first: DataFrame, now: Column) -> DataFrame:
+    """Status, payload and time of each wait, given one event per (queue, event_name)."""
+    known = first.select("queue", "event_name", "payload", F.col("emitted_at").alias("_event_at"))
+    joined = waits.join(known, ["queue", "event_name"], "left")
     deadline = after(F.col("wait_ts"), F.col("timeout_s"))
     open_ended = F.col("timeout_s").isNull()
     met = F.col("_event_at").isNotNull() & (open_ended | (F.col("_event_at") < deadline))

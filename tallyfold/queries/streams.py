@@ -12,7 +12,6 @@ from tallyfold.streaming import events, timers, waits
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LATE_MINUTES = 10
-LATE = f"{LATE_MINUTES} minutes"
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,17 +85,26 @@ def joined_waits(spark, sf):
 
 
 def resolved_waits(spark, sf):
-    rows = waits.resolve_waits_stream(stream(spark, sf, "waits"), stream(spark, sf, "signals"))
-    return finish(rows, "resolved-waits")
+    store = new_path(spark, "settled-waits")
+    both = waits.wait_input(stream(spark, sf, "waits"), stream(spark, sf, "signals"))
+    finish(both, "settled-run", waits.wait_batches(store, LATE_MINUTES * 60))
+    rows = waits.settled_waits(spark, store)
+    return plain_times(rows.drop("timeout_s"))
+
+
+def _alerts(spark, rows, deadlines, label):
+    store = new_path(spark, label)
+    finish(rows, f"{label}-run", timers.deadline_batches(store, deadlines, LATE_MINUTES * 60))
+    return plain_times(timers.raised_alerts(spark, store))
 
 
 def lease_alerts(spark, sf):
-    return finish(timers.lease_alerts(stream(spark, sf, "beats"), LATE), "lease-alerts")
+    return _alerts(spark, stream(spark, sf, "beats"), timers.lease_deadlines(), "lease-alerts")
 
 
 def woken_runs(spark, sf):
     rows = stream(spark, sf, "transitions").where("op = 'schedule'")
-    return finish(timers.woken_runs(rows, LATE), "woken-runs")
+    return _alerts(spark, rows, timers.wake_deadlines(), "woken-runs")
 
 
 def terminal_results(spark, sf):

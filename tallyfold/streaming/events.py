@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold import schemas as S
 from tallyfold.operators.history import ORDER, TASK, fold_state, is_terminal
 from tallyfold.operators.writes import submit
+from tallyfold.streaming.state import batches_before, read_or_empty, write_batch
 
 EVENT_KEY = ["queue", "event_name"]
 
@@ -60,17 +60,6 @@ def span_metrics(spans: DataFrame, width: str = "1 hour", late: str = "10 minute
     )
 
 
-def _below(spark: SparkSession, path: str, schema, label: str, batch_id: int) -> DataFrame:
-    """Rows that earlier batches left below ``path``; a replayed batch does not see itself."""
-    try:
-        rows = spark.read.schema(schema.add(label, "long")).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-    return rows.where(F.col(label) < batch_id).drop(label)
-
-
 def submit_batches(store: str):
     """A ``foreachBatch`` function that spawns idempotently and keeps the tasks in ``store``.
 
@@ -81,10 +70,9 @@ def submit_batches(store: str):
     )
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        known = _below(batch.sparkSession, store, S.copy_of(schema), "batch", batch_id)
+        known = batches_before(batch.sparkSession, store, schema, batch_id)
         spawned = submit(known, batch)
-        created = spawned.where("created").select(*schema.names)
-        created.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+        write_batch(spawned.where("created").select(*schema.names), store, batch_id)
 
     return run
 
@@ -141,25 +129,18 @@ def snapshot_batches(store: str):
     schema = S.copy_of(S.TRANSITIONS).add("generation", "long")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        before = _version(batch.sparkSession, store, schema, batch_id - 1)
+        before = read_or_empty(batch.sparkSession, f"{store}/batch={batch_id - 1}", schema)
         new = batch.withColumn("generation", F.lit(None).cast("long"))
         merged = compact_history(before.unionByName(new.select(*schema.names)))
-        merged.write.mode("overwrite").parquet(f"{store}/version={batch_id}")
+        write_batch(merged, store, batch_id)
 
     return run
 
 
-def _version(spark: SparkSession, store: str, schema, version: int) -> DataFrame:
-    """One version of the store, or no rows before the first."""
-    if version < 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{store}/version={version}")
-
-
-def latest_snapshot(spark: SparkSession, store: str, version: int) -> DataFrame:
-    """The folded state of one version of the compacted history."""
+def latest_snapshot(spark: SparkSession, store: str, batch_id: int) -> DataFrame:
+    """The folded state after one batch."""
     schema = S.copy_of(S.TRANSITIONS).add("generation", "long")
-    rows = _version(spark, store, schema, version)
+    rows = read_or_empty(spark, f"{store}/batch={batch_id}", schema)
     counts = rows.where("generation IS NOT NULL").select(
         *TASK, F.col("generation").alias("_count")
     )

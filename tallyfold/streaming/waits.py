@@ -1,26 +1,21 @@
-"""Event waits on streams: a stream-stream join, and exact first-wins with timers."""
+"""Event waits on streams: a stream-stream join, and exact first-wins with timeouts."""
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
 
 from tallyfold import schemas as S
 from tallyfold.functions.timing import after
+from tallyfold.operators.history import first_events
+from tallyfold.operators.waits import decide
+from tallyfold.streaming.state import advance_clock, batches_before, read_or_empty, write_batch
 
-OUTCOMES = T.StructType(
-    [
-        *S.struct("queue string, event_name string, wait_id string, status string, payload string"),
-        *S.struct("wait_ts timestamp, resolved_at timestamp"),
-    ]
+FIRST = S.struct("queue string, event_name string, payload string, emitted_at timestamp")
+OPEN = S.struct(
+    "wait_id string, queue string, event_name string, wait_ts timestamp, timeout_s long"
 )
-# State values are microseconds, so that deadlines compare exactly.
-EVENT_STATE = S.struct("at long, seq long, payload string")
-WAIT_KEY = S.struct("wait_id string")
-WAIT_STATE = S.struct("wait_at long, deadline long")
+SETTLED = S.struct("payload string, resolved_at timestamp")
 
 
 def joined_waits(
@@ -28,9 +23,9 @@ def joined_waits(
 ) -> DataFrame:
     """Left outer stream-stream join of waits with every event before their deadline.
 
-    Events are kept for ``event_ttl`` before a wait. A wait with several events gives
-    several rows; an unmatched wait appears once the watermark passes its deadline. Waits
-    need a finite timeout.
+    Events are kept for ``event_ttl`` before a wait, which is also the longest timeout. A
+    wait with several events gives several rows; an unmatched wait appears once the
+    watermark passes. Waits need a finite timeout.
     """
     w = waits.withWatermark("wait_ts", late).withColumn(
         "deadline", after(F.col("wait_ts"), F.col("timeout_s"))
@@ -41,125 +36,60 @@ def joined_waits(
         "payload",
         "emitted_at",
     )
+    ttl = F.expr(f"INTERVAL {event_ttl}")
     match = (
         (F.col("queue") == F.col("_queue"))
         & (F.col("event_name") == F.col("_name"))
-        & (F.col("emitted_at") >= F.col("wait_ts") - F.expr(f"INTERVAL {event_ttl}"))
+        & (F.col("emitted_at") >= F.col("wait_ts") - ttl)
         & (F.col("emitted_at") < F.col("deadline"))
         # Repeats the bound with a constant, which is what lets Spark drop old rows.
-        & (F.col("emitted_at") <= F.col("wait_ts") + F.expr(f"INTERVAL {event_ttl}"))
+        & (F.col("emitted_at") <= F.col("wait_ts") + ttl)
     )
     return w.join(e, match, "left_outer").drop("_queue", "_name")
 
 
-def _micros(name: str):
-    return F.unix_micros(F.col(name))
+def wait_input(waits: DataFrame, events: DataFrame) -> DataFrame:
+    """Both streams as one, the input of ``wait_batches``."""
+    w = waits.select(*OPEN.names, F.col("wait_ts").alias("moment"))
+    e = events.select(
+        "queue", "event_name", "payload", "emitted_at", "seq", F.col("emitted_at").alias("moment")
+    )
+    return w.unionByName(e, allowMissingColumns=True)
 
 
-def resolve_waits_stream(
-    waits: DataFrame, events: DataFrame, late: str = "10 minutes", salts: int = 16
-) -> DataFrame:
-    """One row per wait: resolved by the first event of its name, or timed out.
+def wait_batches(store: str, late_s: int = 600):
+    """A ``foreachBatch`` function that settles each wait once.
 
-    A third of all waits may name one event, so waits are spread over ``salts`` keys per
-    name and every event goes to each of them. Events are first cut down to the earliest
-    per name and watermark span by the state itself, which keeps one event per key.
+    The first event of a name to be stored stays the first. Open waits move from batch to
+    batch until an event resolves them or the clock, the newest time seen less
+    ``late_s``, reaches their deadline. One event name may hold any share of the waits:
+    the join is an ordinary one that adaptive execution splits.
     """
-    w = waits.select(
-        "queue",
-        "event_name",
-        F.pmod(F.xxhash64("wait_id"), F.lit(salts)).alias("salt"),
-        F.col("wait_ts").alias("ts"),
-        F.lit(0).cast("long").alias("seq"),
-        "wait_id",
-        F.lit(None).cast("string").alias("payload"),
-        _micros("wait_ts").alias("at"),
-        F.unix_micros(after(F.col("wait_ts"), F.col("timeout_s"))).alias("deadline"),
-    )
-    e = events.select(
-        "queue",
-        "event_name",
-        F.explode(F.array([F.lit(i).cast("long") for i in range(salts)])).alias("salt"),
-        F.col("emitted_at").alias("ts"),
-        "seq",
-        F.lit(None).cast("string").alias("wait_id"),
-        "payload",
-        _micros("emitted_at").alias("at"),
-        F.lit(None).cast("long").alias("deadline"),
-    )
-    rows = w.unionByName(e).withWatermark("ts", late)
-    return rows.groupBy("queue", "event_name", "salt").transformWithStateInPandas(
-        statefulProcessor=WaitProcessor(),
-        outputStructType=OUTCOMES,
-        outputMode="Append",
-        timeMode="EventTime",
-    )
-
 
-class WaitProcessor(StatefulProcessor):
-    """Keeps the earliest event of a name and the waits that it has not resolved."""
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.event = handle.getValueState("event", EVENT_STATE)
-        self.open = handle.getMapState("open", WAIT_KEY, WAIT_STATE)
-
-    def handleInputRows(self, key, rows, timerValues):
-        first = self.event.get() if self.event.exists() else None
-        new_waits = []
-        for batch in rows:
-            is_wait = batch["wait_id"].notna()
-            new_waits.append(batch[is_wait])
-            emitted = batch[~is_wait]
-            if len(emitted):
-                best = emitted.sort_values(["at", "seq"]).iloc[0]
-                # The payload is text or missing; a missing one is an event all the same.
-                payload = None if pd.isna(best["payload"]) else best["payload"]
-                found = (int(best["at"]), int(best["seq"]), payload)
-                if first is None or found[:2] < tuple(first)[:2]:
-                    first = found
-        if first is not None:
-            self.event.update(tuple(first))
-
-        done = []
-        for batch in new_waits:
-            for wait in batch.itertuples(index=False):
-                deadline = None if pd.isna(wait.deadline) else int(wait.deadline)
-                state = (int(wait.at), deadline)
-                if not self._resolve(done, key, wait.wait_id, state, first):
-                    self.open.updateValue((wait.wait_id,), state)
-                    if deadline is not None:
-                        self.handle.registerTimer(-(-deadline // 1000))
-        if first is not None:
-            for (wait_id,), state in list(self.open.iterator()):
-                if self._resolve(done, key, wait_id, state, first):
-                    self.open.removeKey((wait_id,))
-        yield self._frame(done)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        done = []
-        for (wait_id,), (wait_at, deadline) in list(self.open.iterator()):
-            if deadline is not None and deadline <= now:
-                done.append((*key[:2], wait_id, "timed_out", None, wait_at, deadline))
-                self.open.removeKey((wait_id,))
-        yield self._frame(done)
-
-    def close(self) -> None:
-        pass
-
-    @staticmethod
-    def _resolve(done, key, wait_id, state, first) -> bool:
-        wait_at, deadline = state
-        if first is None or (deadline is not None and first[0] >= deadline):
-            return False
-        at = max(wait_at, first[0])
-        done.append((*key[:2], wait_id, "resolved", first[2], wait_at, at))
-        return True
-
-    @staticmethod
-    def _frame(done) -> pd.DataFrame:
-        frame = pd.DataFrame(done, columns=OUTCOMES.names)
-        for name in ("wait_ts", "resolved_at"):
-            frame[name] = pd.to_datetime(frame[name], unit="us")
-        return frame
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        now = advance_clock(batch, "moment", f"{store}/clock", batch_id, late_s)
+        known = batches_before(spark, f"{store}/events", FIRST, batch_id)
+        names = known.select("queue", "event_name")
+        arrived = first_events(batch.where(F.col("emitted_at").isNotNull())).select(*FIRST.names)
+        new = arrived.join(names, names.columns, "left_anti")
+        write_batch(new, f"{store}/events", batch_id)
+        still_open = f"{store}/waits/batch={batch_id - 1}/status=sleeping"
+        waits = read_or_empty(spark, still_open, OPEN).unionByName(
+            batch.where(F.col("wait_id").isNotNull()).select(*OPEN.names)
+        )
+        known = batches_before(spark, f"{store}/events", FIRST, batch_id + 1)
+        write_batch(decide(waits, known, now), f"{store}/waits", batch_id, "status")
+        batch.unpersist()
+
+    return run
+
+
+def settled_waits(spark: SparkSession, store: str) -> DataFrame:
+    """The waits settled so far."""
+    schema = S.copy_of(OPEN)
+    for field in (*SETTLED, *S.struct("status string, batch long")):
+        schema = schema.add(field)
+    rows = read_or_empty(spark, f"{store}/waits", schema)
+    return rows.where(F.col("status") != "sleeping").drop("batch")

@@ -1,8 +1,10 @@
 """Streams over several files, in several micro-batches, against the batch operators."""
 
 import os
+from datetime import datetime
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyfold.operators import history, observe, waits
@@ -59,10 +61,11 @@ def watermark(spark, df, column="ts"):
     return F.lit(last).cast("timestamp_ntz") - F.expr(f"interval {LATE} seconds")
 
 
-def test_waits_with_timers(spark, source):
-    ours = run(
-        stream_waits.resolve_waits_stream(source("waits"), source("signals"), salts=3), "waits"
-    )
+def test_waits_settle_once(spark, source):
+    store = new_path(spark, "settled")
+    both = stream_waits.wait_input(source("waits"), source("signals"))
+    run(both, "waits", stream_waits.wait_batches(store, LATE))
+    ours = plain_times(stream_waits.settled_waits(spark, store))
     wait, signal = view(spark, SF_DIR, "waits"), view(spark, SF_DIR, "signals")
     both = wait.select(F.col("wait_ts").alias("ts")).unionByName(
         signal.select(F.col("emitted_at").alias("ts"))
@@ -84,7 +87,9 @@ def test_joined_waits_keep_resolved_ones(spark, source):
 
 
 def test_lease_alerts(spark, source):
-    ours = run(timers.lease_alerts(source("beats")), "alerts")
+    store = new_path(spark, "alerts")
+    run(source("beats"), "alerts-run", timers.deadline_batches(store, timers.lease_deadlines(), LATE))
+    ours = plain_times(timers.raised_alerts(spark, store))
     beats = view(spark, SF_DIR, "beats")
     now = watermark(spark, beats)
     ages = observe.lease_status(beats, F.lit("2100-01-01").cast("timestamp_ntz"))
@@ -100,9 +105,37 @@ def test_lease_alerts(spark, source):
     assert rows(ours, *columns) == rows(both.where("due_at <= end"), *columns)
 
 
-def test_woken_runs_are_unique(spark, source):
-    ours = run(timers.woken_runs(source("transitions").where("op = 'schedule'")), "woken")
-    assert ours.count() == ours.select("run_id", "seq").distinct().count() > 0
+def test_woken_runs(spark, source):
+    store = new_path(spark, "woken")
+    rows_in = source("transitions").where("op = 'schedule'")
+    run(rows_in, "woken-run", timers.deadline_batches(store, timers.wake_deadlines(), LATE))
+    ours = plain_times(timers.raised_alerts(spark, store))
+    whole = view(spark, SF_DIR, "transitions").where("op = 'schedule'")
+    following = Window.partitionBy("run_id").orderBy("ts", "seq")
+    end = F.coalesce(F.lead("ts").over(following), watermark(spark, whole))
+    woken = whole.withColumn("end", end).where("wake_at <= end")
+    assert rows(ours, "run_id", "seq", "due_at") == rows(woken, "run_id", "seq", "wake_at")
+
+
+def test_ended_run_raises_nothing_and_late_rows_change_nothing(spark):
+    store = new_path(spark, "ended")
+    step = timers.deadline_batches(store, timers.lease_deadlines(), late_s=0)
+    schema = "run_id string, ts timestamp, seq long, lease_s long, ended boolean"
+
+    def batch(*beats):
+        return spark.createDataFrame(
+            [(r, datetime(2026, 1, 1, 0, 0, s), s, lease, end) for r, s, lease, end in beats],
+            schema,
+        )
+
+    step(batch(("a", 0, 10, None), ("b", 1, 10, None)), 0)
+    step(batch(("a", 5, 10, True), ("b", 0, 1, None), ("c", 12, 10, None)), 1)
+    step(batch(("c", 40, 10, False)), 2)
+    step(batch(("c", 40, 10, False)), 2)
+    raised = {(r.run_id, r.seq, r.level) for r in timers.raised_alerts(spark, store).collect()}
+    assert raised == {("b", 1, "warning"), ("b", 1, "expired"), ("c", 12, "warning"),
+                      ("c", 12, "expired")}
+    assert timers.raised_alerts(spark, store).count() == 4
 
 
 def test_submit_spawns_each_key_once(spark, source):
