@@ -120,11 +120,20 @@ def rejected_writes(
     """Rows that follow the first terminal row of their generation, with the error code."""
     position = F.struct(*ORDER)
     starts = F.col("op").isin(*S.GENERATION_OPS).cast("bigint")
-    rows = windowed(
-        transitions, TASK, ORDER, sums={"generation": starts}, rows_per_segment=rows_per_segment
-    ).where(F.col("generation") >= 1)
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        counted = windowed(
+            rows, TASK, ORDER, sums={"generation": starts}, rows_per_segment=rows_per_segment
+        )
+        return counted.where(F.col("generation") >= 1)
+
+    rows = numbered(transitions)
+    # The ends need only the rows that start or end a generation.
+    marks = transitions.where(F.col("op").isin(*S.GENERATION_OPS) | _ends())
+    marks = marks.select(*TASK, *ORDER, "op", "attempt", "max_attempts")
     ends = (
-        rows.where(_ends())
+        numbered(marks)
+        .where(_ends())
         .groupBy(*TASK, "generation")
         .agg(F.min(position).alias("_end"), F.min_by("op", position).alias("ended_by"))
     )

@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from typing import Any
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +22,7 @@ from pyspark.sql import types as T
 from tallyfold import schemas as S
 from tallyfold.functions.text import failure_record
 from tallyfold.operators.history import replay
+from tallyfold.session import read_or_empty
 
 CATALOG = S.struct(
     "queue string, task_name string, callable string, default_max_attempts int, "
@@ -196,19 +196,9 @@ def run_tasks(
     )
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The store's rows, or none while it does not exist."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def attempts_made(spark: SparkSession, store: str) -> DataFrame:
     """Attempt rows of a store, one per (task, attempt)."""
-    rows = _stored(spark, store, ATTEMPTS)
+    rows = read_or_empty(spark, store, ATTEMPTS)
     kept = F.min(F.struct("state", "result", "failure")).alias("_row")
     return rows.groupBy("task_id", "attempt").agg(kept).select("task_id", "attempt", "_row.*")
 
@@ -229,7 +219,7 @@ def run_with_retries(
     spark = runs.sparkSession
     limits = {t.name: t.max_attempts or S.DEFAULT_MAX_ATTEMPTS for t in registry.tasks.values()}
     for number in range(1, max(limits.values(), default=0) + 1):
-        made = _stored(spark, store, ATTEMPTS)
+        made = read_or_empty(spark, store, ATTEMPTS)
         allowed = [name for name, limit in limits.items() if limit >= number]
         todo = runs.where(F.col("task_name").isin(allowed))
         if number > 1:
@@ -268,7 +258,7 @@ def durable_step(
     """
     spark = rows.sparkSession
     steps = rows.withColumn("checkpoint_name", F.lit(name))
-    known = _stored(spark, store, S.CHECKPOINTS).where(F.col("checkpoint_name") == name)
+    known = read_or_empty(spark, store, S.CHECKPOINTS).where(F.col("checkpoint_name") == name)
     committed = known.where(F.col("status") == "committed").select("task_id")
     todo = steps.join(committed, "task_id", "left_anti").select(
         "task_id", F.lit(name).alias("task_name"), F.lit(attempt).alias("attempt"), "params"
@@ -290,5 +280,5 @@ def durable_step(
         .partitionBy("checkpoint_name", "status")
         .parquet(store)
     )
-    stored = _stored(spark, store, S.CHECKPOINTS).where(F.col("checkpoint_name") == name)
+    stored = read_or_empty(spark, store, S.CHECKPOINTS).where(F.col("checkpoint_name") == name)
     return replay(steps, stored)

@@ -58,8 +58,9 @@ def _record(
     """
     rows = _decided(snapshot, requests, needs_running)
     if once:
-        legal = rows.where(F.col("reason").isNull())
-        first = legal.groupBy(*TASK).agg(F.min(F.struct(*REQUEST_ORDER)).alias("_first"))
+        # Whether a request is legal depends on its task alone, so the first one of all is
+        # the first legal one.
+        first = requests.groupBy(*TASK).agg(F.min(F.struct(*REQUEST_ORDER)).alias("_first"))
         rows = rows.join(first, TASK, "left")
         late = F.col("reason").isNull() & (F.struct(*REQUEST_ORDER) != F.col("_first"))
         rows = rows.withColumn("reason", F.when(late, "superseded").otherwise(F.col("reason")))

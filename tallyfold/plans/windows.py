@@ -46,13 +46,12 @@ def segment_bounds(
         .agg(F.max("_rank").alias("_rank"))
     )
     edges = Window.partitionBy(*keys).orderBy("_at")
-    inner = cuts.select(
+    return cuts.select(
         *keys,
         F.row_number().over(edges).alias("_segment"),
         F.col("_at").alias("_low"),
         F.lead("_at").over(edges).alias("_high"),
     )
-    return inner
 
 
 def _assign_segments(
@@ -103,11 +102,10 @@ def windowed(
     the whole table as one group.
     """
     sums, lags, leads = sums or {}, lags or {}, leads or {}
-    bounds = segment_bounds(df, keys, order, rows_per_segment)
+    bounds = written(segment_bounds(df, keys, order, rows_per_segment), "segment-bounds")
     if bounds.isEmpty():
         return _local(df, Window.partitionBy(*keys).orderBy(*order), sums, lags, leads)
 
-    bounds = written(bounds, "segment-bounds")
     cut = _assign_segments(df, bounds, keys, order)
     groups = [*keys, "_segment"]
     within = Window.partitionBy(*groups).orderBy(*order)

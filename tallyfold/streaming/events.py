@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold import schemas as S
-from tallyfold.operators.history import ORDER, TASK, fold_state, is_terminal
+from tallyfold.operators.history import ORDER, TASK, ends_task, fold_state, is_terminal
 from tallyfold.operators.writes import submit
-from tallyfold.streaming.state import batches_before, read_or_empty, write_batch
+from tallyfold.session import read_or_empty
+from tallyfold.streaming.state import batches_before, write_batch
 
 EVENT_KEY = ["queue", "event_name"]
 
@@ -87,10 +88,7 @@ def compact_history(transitions: DataFrame) -> DataFrame:
     names = [f.name for f in S.TRANSITIONS]
     row = F.struct(*names)
     starts = F.col("op").isin(*S.GENERATION_OPS)
-    limit = F.coalesce("max_attempts", F.lit(S.DEFAULT_MAX_ATTEMPTS))
-    ends = F.col("op").isin("complete", "cancel") | (
-        (F.col("op") == "fail") & (F.col("attempt") >= limit)
-    )
+    ends = ends_task(F.col("op"), F.col("attempt"), F.col("max_attempts"))
     # A compacted start row stands for all the generations before it.
     count = F.coalesce("generation", F.lit(1).cast("long"))
     begun = (

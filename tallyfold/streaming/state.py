@@ -10,26 +10,16 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold import schemas as S
+from tallyfold.session import read_or_empty
 
 CLOCK = S.struct("seen timestamp")
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at ``path``, or no rows while nothing was written there."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def batches_before(
     spark: SparkSession, path: str, schema: T.StructType, batch_id: int
 ) -> DataFrame:

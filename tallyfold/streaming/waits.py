@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold import schemas as S
 from tallyfold.functions.timing import after
 from tallyfold.operators.history import first_events
 from tallyfold.operators.waits import decide
-from tallyfold.streaming.state import advance_clock, batches_before, read_or_empty, write_batch
+from tallyfold.session import read_or_empty
+from tallyfold.streaming.state import advance_clock, batches_before, write_batch
 
 FIRST = S.struct("queue string, event_name string, payload string, emitted_at timestamp")
 OPEN = S.struct(
@@ -57,21 +58,27 @@ def wait_input(waits: DataFrame, events: DataFrame) -> DataFrame:
     return w.unionByName(e, allowMissingColumns=True)
 
 
-def wait_batches(store: str, late_s: int = 600):
+def wait_batches(store: str, late_s: int = 600, event_ttl_s: int | None = None):
     """A ``foreachBatch`` function that settles each wait once.
 
     The first event of a name to be stored stays the first. Open waits move from batch to
     batch until an event resolves them or the clock, the newest time seen less
-    ``late_s``, reaches their deadline. One event name may hold any share of the waits:
-    the join is an ordinary one that adaptive execution splits.
+    ``late_s``, reaches their deadline. With ``event_ttl_s`` a name is forgotten that
+    long after its event. One event name may hold any share of the waits: the join is an
+    ordinary one that adaptive execution splits.
     """
 
+    def remembered(spark: SparkSession, before: int, now: Column) -> DataFrame:
+        known = batches_before(spark, f"{store}/events", FIRST, before)
+        if event_ttl_s is None:
+            return known
+        return known.where(after(F.col("emitted_at"), F.lit(event_ttl_s)) > now)
+
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         now = advance_clock(batch, "moment", f"{store}/clock", batch_id, late_s)
-        known = batches_before(spark, f"{store}/events", FIRST, batch_id)
-        names = known.select("queue", "event_name")
+        names = remembered(spark, batch_id, now).select("queue", "event_name")
         arrived = first_events(batch.where(F.col("emitted_at").isNotNull())).select(*FIRST.names)
         new = arrived.join(names, names.columns, "left_anti")
         write_batch(new, f"{store}/events", batch_id)
@@ -79,7 +86,7 @@ def wait_batches(store: str, late_s: int = 600):
         waits = read_or_empty(spark, still_open, OPEN).unionByName(
             batch.where(F.col("wait_id").isNotNull()).select(*OPEN.names)
         )
-        known = batches_before(spark, f"{store}/events", FIRST, batch_id + 1)
+        known = remembered(spark, batch_id + 1, now)
         write_batch(decide(waits, known, now), f"{store}/waits", batch_id, "status")
         batch.unpersist()
 
