@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold import schemas as S
-from tallyfold.functions.timing import after, seconds_between
+from tallyfold.functions.timing import after, cancellation_deadline, seconds_between
 from tallyfold.plans import ROWS_PER_SEGMENT, top_per_group, windowed
 
 TASK = ["queue", "task_id"]
@@ -256,6 +256,23 @@ def remaining(steps: DataFrame, checkpoints: DataFrame) -> DataFrame:
     )
 
 
+def cancel_overdue(snapshot: DataFrame, now: Column) -> DataFrame:
+    """Live tasks past the deadline of their cancellation policy, cancelled at it.
+
+    Needs spawned_at, max_delay_s and max_duration_s; a null limit never cancels.
+    """
+    deadline = cancellation_deadline(
+        F.col("spawned_at"), F.col("started_at"), F.col("max_delay_s"), F.col("max_duration_s")
+    )
+    over = F.coalesce(~is_terminal(F.col("state")) & (deadline <= now), F.lit(False))
+    return snapshot.withColumns(
+        {
+            "ended_at": F.when(over, deadline).otherwise(F.col("ended_at")),
+            "state": F.when(over, "cancelled").otherwise(F.col("state")),
+        }
+    )
+
+
 def apply_cancels(snapshot: DataFrame, cancels: DataFrame) -> DataFrame:
     """A task whose first cancel precedes its end is cancelled at that time."""
     first = cancels.groupBy(*TASK).agg(F.min("cancelled_at").alias("cancelled_at"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.plans import ROWS_PER_SEGMENT, windowed
+from tallyfold.session import written
 
 # A literal name that looks like a numbered occurrence: base, "#", a number from 2.
 NUMBERED = r"^(.*)#([2-9]|[1-9][0-9]+)$"
@@ -73,10 +74,37 @@ def allocate_names(
             }
         )
     )
-    base_calls = counted.select(
-        *keys, F.col("name").alias("_base"), F.col("_call").alias("_number"), at.alias("_base_at")
+    # Literals are usually few; written, their size is known and a small set is broadcast.
+    literals = written(literals, "literal-names")
+    limits = _call_limits(calls, literals, keys, order, rows_per_segment)
+    named = counted.join(written(limits, "call-limits"), [*keys, "name"], "left")
+    accepted = F.col("_limit").isNull() | (F.col("_call") <= F.col("_limit"))
+    number = F.when(accepted, F.col("_call")).otherwise(F.col("_limit") + 1)
+    return named.select(
+        *calls.columns,
+        numbered_name(F.col("name"), number).alias("checkpoint_name"),
+        accepted.alias("accepted"),
     )
-    rivals = literals.join(base_calls, [*keys, "_base", "_number"])
+
+
+def _call_limits(
+    calls: DataFrame,
+    literals: DataFrame,
+    keys: list[str],
+    order: list[str],
+    rows_per_segment: int,
+) -> DataFrame:
+    """How many calls of a name succeed, for the names that have such a limit."""
+    at = F.struct(*order)
+    bases = literals.select(*keys, F.col("_base").alias("name"))
+    base_calls = windowed(
+        calls.join(bases, [*keys, "name"], "left_semi"),
+        [*keys, "name"],
+        order,
+        sums={"_number": F.lit(1)},
+        rows_per_segment=rows_per_segment,
+    ).select(*keys, F.col("name").alias("_base"), "_number", at.alias("_base_at"))
+    rivals = written(literals.join(base_calls, [*keys, "_base", "_number"]), "rival-names")
 
     limits = (
         rivals.where(F.col("_literal_at") < F.col("_base_at"))
@@ -90,18 +118,9 @@ def allocate_names(
         .where(reachable)
         .select(*keys, "name")
     )
-    blocked = _blocked(edges, keys)
-
-    limits = limits.withColumnRenamed("_base", "name")
-    named = counted.join(limits, [*keys, "name"], "left").join(blocked, [*keys, "name"], "left")
-    limit = F.when(F.col("_blocked"), F.lit(0)).otherwise(F.col("_limit"))
-    accepted = limit.isNull() | (F.col("_call") <= limit)
-    number = F.when(accepted, F.col("_call")).otherwise(limit + 1)
-    return named.select(
-        *calls.columns,
-        numbered_name(F.col("name"), number).alias("checkpoint_name"),
-        accepted.alias("accepted"),
-    )
+    blocked = _blocked(edges, keys).withColumn("_limit", F.lit(0).cast("bigint"))
+    both = limits.withColumnRenamed("_base", "name").unionByName(blocked)
+    return both.groupBy(*keys, "name").agg(F.min("_limit").alias("_limit"))
 
 
 def _blocked(edges: DataFrame, keys: list[str]) -> DataFrame:
@@ -126,5 +145,5 @@ def _blocked(edges: DataFrame, keys: list[str]) -> DataFrame:
         .groupBy(*keys, "name")
         .agg(first_gap.alias("_run"))
         .where(F.col("_run") % 2 == 1)
-        .select(*keys, "name", F.lit(True).alias("_blocked"))
+        .select(*keys, "name")
     )

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold import schemas as S
+from tallyfold.functions.payload import is_json
 from tallyfold.functions.text import durable_problem, queue_problem
 from tallyfold.functions.timing import after, after_milliseconds, retry_delay, whole_seconds
-from tallyfold.operators.history import TASK, dedupe_requests, is_terminal
+from tallyfold.operators.audits import option_problems
+from tallyfold.operators.history import TASK, dedupe_requests, due_batch, is_terminal
 
 REQUEST_ORDER = ["ts", "seq"]
 
@@ -87,6 +89,18 @@ def _record(
     )
 
 
+def claim(runs: DataFrame, now: Column, k: int, lease_ms: int) -> DataFrame:
+    """Claim rows for up to ``k`` due runs per queue, with a lease in whole seconds."""
+    ready = due_batch(runs, now, k)
+    return ready.select(
+        *[c for c in runs.columns if c not in ("state", "wake_at")],
+        F.lit("claim").alias("op"),
+        now.alias("ts"),
+        F.col("place").alias("seq"),
+        whole_seconds(F.lit(lease_ms)).alias("lease_s"),
+    )
+
+
 def complete(snapshot: DataFrame, requests: DataFrame) -> DataFrame:
     """Complete running tasks with a JSON ``payload``."""
     return _record(snapshot, requests, "complete", once=True, payload=F.col("payload"))
@@ -215,14 +229,15 @@ def retry(
 def submit(existing: DataFrame, requests: DataFrame, hook=None) -> DataFrame:
     """Spawn idempotently: a known (queue, key) gives the task it had, ``created`` false.
 
-    ``hook`` maps the requests to requests, for example to add headers; names are checked
-    before and after it. ``existing`` holds queue, idempotency_key, task_id and run_id.
+    ``hook`` maps the requests to requests, for example to add headers; names, payloads
+    and options are checked before and after it. ``existing`` holds queue,
+    idempotency_key, task_id, run_id and attempt.
     """
-    checked = _with_name_problem(requests)
+    checked = _with_problem(requests)
     if hook is not None:
         ok = hook(checked.where(F.col("problem").isNull()).drop("problem"))
         refused = checked.where(F.col("problem").isNotNull())
-        checked = _with_name_problem(ok).unionByName(refused, allowMissingColumns=True)
+        checked = _with_problem(ok).unionByName(refused, allowMissingColumns=True)
     valid = dedupe_requests(checked.where(F.col("problem").isNull()))
     refused = checked.where(F.col("problem").isNotNull()).select(
         "request_id",
@@ -230,12 +245,16 @@ def submit(existing: DataFrame, requests: DataFrame, hook=None) -> DataFrame:
         "idempotency_key",
         F.lit(None).cast("string").alias("task_id"),
         F.lit(None).cast("string").alias("run_id"),
+        F.lit(None).cast("int").alias("attempt"),
         F.lit(False).alias("created"),
         "problem",
     )
     key = ["queue", "idempotency_key"]
     known = existing.where(F.col("idempotency_key").isNotNull()).select(
-        *key, F.col("task_id").alias("_task_id"), F.col("run_id").alias("_run_id")
+        *key,
+        F.col("task_id").alias("_task_id"),
+        F.col("run_id").alias("_run_id"),
+        F.col("attempt").alias("_attempt"),
     )
     task_id = new_id(F.col("queue"), F.col("task_request_id"))
     keyed = valid.where(F.col("idempotency_key").isNotNull()).join(known, key, "left")
@@ -246,17 +265,20 @@ def submit(existing: DataFrame, requests: DataFrame, hook=None) -> DataFrame:
         "idempotency_key",
         F.coalesce("_task_id", task_id).alias("task_id"),
         F.coalesce("_run_id", new_id(task_id, F.lit(1))).alias("run_id"),
+        F.coalesce("_attempt", F.lit(1)).alias("attempt"),
         (F.col("created") & F.col("_task_id").isNull()).alias("created"),
         F.lit(None).cast("string").alias("problem"),
     )
     return spawned.unionByName(refused)
 
 
-def _with_name_problem(requests: DataFrame) -> DataFrame:
-    problem = F.coalesce(
-        queue_problem(F.col("queue")), durable_problem(F.col("task_name"))
-    )
-    return requests.withColumn("problem", problem)
+def _with_problem(requests: DataFrame) -> DataFrame:
+    """The first broken rule of each request: names, payload, then options."""
+    rules = [queue_problem(F.col("queue")), durable_problem(F.col("task_name"))]
+    if "params" in requests.columns:
+        rules.append(F.when(~is_json(F.col("params")), F.lit("invalid_json")))
+    rules.append(F.get(option_problems(requests.columns), F.lit(0)))
+    return requests.withColumn("problem", F.coalesce(*rules))
 
 
 def emit(events: DataFrame) -> tuple[DataFrame, DataFrame]:

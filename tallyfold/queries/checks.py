@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyfold.functions import payload, text, timing
-from tallyfold.operators import audits, observe
+from tallyfold.operators import audits, history, observe
 from tallyfold.queries.joins import UUID_OF
 from tallyfold.queries.views import read, sql, view
 
@@ -249,7 +249,45 @@ def cancellation_deadlines(spark, sf):
     return orders.select("o_orderkey", deadline.alias("deadline"))
 
 
+def cancelled_by_policy(spark, sf):
+    """Orders as tasks with waiting and running limits in days, at the end of 2000."""
+    day = 86_400
+    tasks = read(spark, sf, "orders").select(
+        "o_orderkey",
+        F.col("o_orderdate").alias("spawned_at"),
+        F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate")).alias("started_at"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate")).alias("ended_at"),
+        F.when(F.col("o_orderstatus") == "F", "completed")
+        .when(F.col("o_orderstatus") == "P", "running")
+        .otherwise("pending")
+        .alias("state"),
+        F.when(F.col("o_totalprice") > 100_000, F.col("o_custkey") * day).alias("max_delay_s"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey") * 2 * day).alias(
+            "max_duration_s"
+        ),
+    )
+    now = F.lit("2000-12-31").cast("timestamp_ntz")
+    rows = history.cancel_overdue(tasks, now)
+    return rows.select("o_orderkey", "state", "ended_at")
+
+
 QUERIES = {
+    "cancel_overdue": (
+        cancelled_by_policy,
+        """SELECT o_orderkey,
+             CASE WHEN o_orderstatus = 'F' THEN 'completed'
+                  WHEN deadline <= TIMESTAMP '2000-12-31 00:00:00' THEN 'cancelled'
+                  WHEN o_orderstatus = 'P' THEN 'running' ELSE 'pending' END AS state,
+             CASE WHEN o_orderstatus = 'F' THEN o_orderdate
+                  WHEN deadline <= TIMESTAMP '2000-12-31 00:00:00' THEN deadline END AS ended_at
+           FROM (SELECT *, CASE WHEN o_orderstatus = 'O'
+                     THEN CASE WHEN o_totalprice > 100000
+                               THEN o_orderdate + to_days(CAST(o_custkey AS INTEGER)) END
+                     ELSE CASE WHEN o_orderpriority <> '5-LOW'
+                               THEN o_orderdate + to_days(CAST(o_custkey * 2 AS INTEGER)) END
+                     END AS deadline
+                 FROM orders)""",
+    ),
     "audit_names": (
         audited_names,
         """SELECT doc_id, step,

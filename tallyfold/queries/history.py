@@ -80,7 +80,7 @@ def submit_requests(spark, sf):
 
 def _no_tasks(spark):
     return spark.createDataFrame(
-        [], "queue string, idempotency_key string, task_id string, run_id string"
+        [], "queue string, idempotency_key string, task_id string, run_id string, attempt int"
     )
 
 
@@ -207,7 +207,7 @@ QUERIES = {
         sql(
             "requests",
             body="""SELECT request_id, queue, idempotency_key, task_id,
-                    md5(concat(task_id, chr(1), '1')) AS run_id,
+                    md5(concat(task_id, chr(1), '1')) AS run_id, CAST(1 AS INTEGER) AS attempt,
                     request_id = winner AS created, CAST(NULL AS VARCHAR) AS problem FROM (
                       SELECT *, md5(concat(queue, chr(1), winner)) AS task_id FROM (
                         SELECT *, CASE WHEN idempotency_key IS NULL THEN request_id

@@ -84,6 +84,11 @@ def cancelled(spark, sf):
     return writes.cancel(_state(spark, sf), _requests(spark, sf, "error")).select(*SHOWN)
 
 
+def claimed(spark, sf):
+    """Claim rows for the first due runs of every queue."""
+    return writes.claim(view(spark, sf, "runs"), now(), 40, 1_500)
+
+
 def _retried(spark, sf, **options):
     return writes.retry(_state(spark, sf), _requests(spark, sf, "signup"), **options)
 
@@ -232,6 +237,17 @@ QUERIES = {
         ),
     ),
     "cancel_tasks": (cancelled, _write_sql("cancel", "error", running=False)),
+    "claim_runs": (
+        claimed,
+        sql(
+            "runs",
+            body="""SELECT run_id, queue, started_at, ended_at, 'claim' AS op, $now AS ts,
+                      CAST(row_number() OVER (PARTITION BY queue ORDER BY wake_at, run_id)
+                           AS BIGINT) AS seq, CAST(2 AS BIGINT) AS lease_s
+                    FROM runs WHERE wake_at <= $now QUALIFY seq <= 40""",
+            now=AT_NOW,
+        ),
+    ),
     "retry_tasks": (retried, _retry_sql(False)),
     "retry_as_new_tasks": (respawned, _retry_sql(True)),
     "emit_events": (

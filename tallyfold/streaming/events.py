@@ -67,7 +67,8 @@ def submit_batches(store: str):
     Every batch writes its own folder, so a batch that runs again replaces its own rows.
     """
     schema = S.struct(
-        "request_id string, queue string, idempotency_key string, task_id string, run_id string"
+        "request_id string, queue string, idempotency_key string, task_id string, "
+        "run_id string, attempt int"
     )
 
     def run(batch: DataFrame, batch_id: int) -> None:

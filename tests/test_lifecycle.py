@@ -229,7 +229,7 @@ def test_idempotent_spawn_and_hook(spark):
         names + ", requested_at timestamp",
     )
     empty = spark.createDataFrame(
-        [], "queue string, idempotency_key string, task_id string, run_id string"
+        [], "queue string, idempotency_key string, task_id string, run_id string, attempt int"
     )
     first = {r.request_id: r for r in writes.submit(empty, asked).collect()}
     assert first["r1"].created and not first["r2"].created
