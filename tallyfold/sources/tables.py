@@ -57,5 +57,5 @@ def read_history(
     found = stored.where(other).select("schema_version").limit(1).collect()
     if found:
         raise SchemaMismatch(f"expected {S.SCHEMA_VERSION}, found {found[0][0]}")
-    rows = stored.drop("schema_version")
+    rows = stored.select(*schema.names)
     return rows if as_of is None else rows.where(F.col(time_column) <= as_of)
