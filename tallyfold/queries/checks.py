@@ -14,7 +14,8 @@ SHORT, LONG = 32, 4096
 
 def _cut_sql(column: str, maximum: int) -> str:
     room = maximum - 3
-    fits = f"list_filter(range({room // 4}, {room + 1}), lambda k: strlen(left({column}, k)) <= {room})"
+    lengths = f"range({room // 4}, {room + 1})"
+    fits = f"list_filter({lengths}, lambda k: strlen(left({column}, k)) <= {room})"
     return (
         f"CASE WHEN strlen({column}) <= {maximum} THEN {column} "
         f"ELSE concat(left({column}, list_max({fits})), '...') END"
@@ -147,7 +148,8 @@ def retry_timelines(spark, sf):
         F.when(F.col("o_orderpriority") != "2-HIGH", F.lit(900.0)).alias("maximum"),
     )
     attempts = orders.withColumn("attempt", F.explode(F.sequence(F.lit(1), F.lit(5))))
-    delay = timing.retry_delay(*[F.col(c) for c in ("kind", "base", "factor", "maximum", "attempt")])
+    policy = ("kind", "base", "factor", "maximum", "attempt")
+    delay = timing.retry_delay(*[F.col(c) for c in policy])
     return attempts.select("o_orderkey", "attempt", delay.alias("delay_s"))
 
 

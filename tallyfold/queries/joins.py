@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators import catalog, history, observe, waits
 from tallyfold.queries.history import fold_sql, now, snapshot
-from tallyfold.queries.views import NOW, sql, view
+from tallyfold.queries.views import NOW, read, sql, view
 
 AT_NOW = f"TIMESTAMP '{NOW}'"
 DEFAULT_QUEUE = "default"
@@ -133,8 +133,6 @@ def routed_requests(spark, sf):
 
 def _registrations(spark, sf):
     """Parts as callables that register under their own name per brand."""
-    from tallyfold.queries.views import read
-
     return read(spark, sf, "part").select(
         F.col("p_brand").alias("queue"),
         F.col("p_name").alias("task_name"),
@@ -399,8 +397,8 @@ QUERIES = {
             "runs",
             body=ACTIVE
             + """ SELECT *, greatest(4 - active, 0) AS free FROM (
-                    SELECT *, CAST(sum(change) OVER (PARTITION BY queue ORDER BY changed_at) AS BIGINT)
-                        AS active FROM changes)""",
+                    SELECT *, CAST(sum(change) OVER (PARTITION BY queue ORDER BY changed_at)
+                                   AS BIGINT) AS active FROM changes)""",
         ),
     ),
     "active_runs_overall": (
@@ -409,7 +407,8 @@ QUERIES = {
             "runs",
             body=ACTIVE
             + """ SELECT *, greatest(16 - active, 0) AS free FROM (
-                    SELECT changed_at, change, CAST(sum(change) OVER (ORDER BY changed_at) AS BIGINT) AS active
+                    SELECT changed_at, change,
+                      CAST(sum(change) OVER (ORDER BY changed_at) AS BIGINT) AS active
                     FROM (SELECT changed_at, CAST(sum(change) AS BIGINT) AS change FROM changes
                           GROUP BY changed_at))""",
         ),

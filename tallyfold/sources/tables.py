@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyfold import schemas as S
 
@@ -50,7 +49,8 @@ def read_history(
     The queue filter prunes partitions; the version check reads one small column.
     """
     schema = S.TABLES[table]
-    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("schema_version", T.StringType())])).parquet(path)
+    marked = S.copy_of(schema).add("schema_version", "string")
+    stored = spark.read.schema(marked).parquet(path)
     if queue is not None:
         stored = stored.where(F.col("queue") == queue)
     other = F.coalesce(F.col("schema_version") != S.SCHEMA_VERSION, F.lit(True))

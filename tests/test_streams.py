@@ -88,19 +88,21 @@ def test_joined_waits_keep_resolved_ones(spark, source):
 
 def test_lease_alerts(spark, source):
     store = new_path(spark, "alerts")
-    run(source("beats"), "alerts-run", timers.deadline_batches(store, timers.lease_deadlines(), LATE))
+    keep = timers.deadline_batches(store, timers.lease_deadlines(), LATE)
+    run(source("beats"), "alerts-run", keep)
     ours = plain_times(timers.raised_alerts(spark, store))
     beats = view(spark, SF_DIR, "beats")
     now = watermark(spark, beats)
     ages = observe.lease_status(beats, F.lit("2100-01-01").cast("timestamp_ntz"))
     end = F.least("until", now)
-    both = ages.select(
-        "run_id", "seq", F.lit("warning").alias("level"), F.col("warning_at").alias("due_at"), end.alias("end")
-    ).unionByName(
+    levels = {"warning": "warning_at", "expired": "expires_at"}
+    warned, expired = (
         ages.select(
-            "run_id", "seq", F.lit("expired").alias("level"), F.col("expires_at").alias("due_at"), end.alias("end")
+            "run_id", "seq", F.lit(n).alias("level"), F.col(c).alias("due_at"), end.alias("end")
         )
+        for n, c in levels.items()
     )
+    both = warned.unionByName(expired)
     columns = ["run_id", "seq", "level", "due_at"]
     assert rows(ours, *columns) == rows(both.where("due_at <= end"), *columns)
 
