@@ -40,11 +40,14 @@ def pair_spans(spans: DataFrame) -> DataFrame:
 
 
 def span_statistics(spans: DataFrame, percentages: tuple[float, ...] = (0.5, 0.95, 0.99)):
-    """Count, total and percentiles of the duration per operation, outcome and error kind."""
+    """Count, total and percentiles of the duration per operation, outcome and error kind.
+
+    The total is rounded to microseconds, below which it depends on the order of summing.
+    """
     cuts = F.percentile_approx("duration_s", list(percentages))
     stats = spans.groupBy("operation", "outcome", "error_kind").agg(
         F.count(F.lit(1)).alias("spans"),
-        F.sum("duration_s").alias("total_s"),
+        F.round(F.sum("duration_s"), 6).alias("total_s"),
         F.max("duration_s").alias("max_s"),
         cuts.alias("_cuts"),
     )

@@ -349,7 +349,7 @@ QUERIES = {
         sql(
             "measured_spans",
             body="""SELECT operation, outcome, error_kind, count(*) AS spans,
-                      sum(duration_s) AS total_s, max(duration_s) AS max_s,
+                      round(sum(duration_s), 6) AS total_s, max(duration_s) AS max_s,
                       quantile_disc(duration_s, 0.5) AS p50_s,
                       quantile_disc(duration_s, 0.95) AS p95_s,
                       quantile_disc(duration_s, 0.99) AS p99_s

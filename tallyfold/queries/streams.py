@@ -249,7 +249,7 @@ QUERIES = {
             body=", "
             + MARK.replace("$source", "SELECT ts AS moment FROM measured_spans")
             + """ SELECT started_at, operation, outcome, count(*) AS spans,
-                    sum(duration_s) AS total_s, max(duration_s) AS max_s,
+                    round(sum(duration_s), 6) AS total_s, max(duration_s) AS max_s,
                     quantile_disc(duration_s, 0.5) AS median_s
                   FROM (SELECT *, date_trunc('hour', ts) AS started_at FROM measured_spans)
                   WHERE started_at + INTERVAL 1 HOUR <= (SELECT mark FROM mark)

@@ -9,7 +9,7 @@ from tallyfold import schemas as S
 from tallyfold.operators.history import ORDER, TASK, ends_task, fold_state, is_terminal
 from tallyfold.operators.writes import submit
 from tallyfold.session import read_or_empty
-from tallyfold.streaming.state import batches_before, write_batch
+from tallyfold.streaming.state import batches_before, cached_batch, write_batch
 
 EVENT_KEY = ["queue", "event_name"]
 
@@ -45,7 +45,7 @@ def span_metrics(spans: DataFrame, width: str = "1 hour", late: str = "10 minute
         .groupBy(F.window("ts", width), "operation", "outcome")
         .agg(
             F.count(F.lit(1)).alias("spans"),
-            F.sum("duration_s").alias("total_s"),
+            F.round(F.sum("duration_s"), 6).alias("total_s"),
             F.max("duration_s").alias("max_s"),
             F.percentile_approx("duration_s", 0.5).alias("median_s"),
         )
@@ -71,6 +71,7 @@ def submit_batches(store: str):
         "run_id string, attempt int"
     )
 
+    @cached_batch
     def run(batch: DataFrame, batch_id: int) -> None:
         known = batches_before(batch.sparkSession, store, schema, batch_id)
         spawned = submit(known, batch)
@@ -127,6 +128,7 @@ def snapshot_batches(store: str):
     """
     schema = S.copy_of(S.TRANSITIONS).add("generation", "long")
 
+    @cached_batch
     def run(batch: DataFrame, batch_id: int) -> None:
         before = read_or_empty(batch.sparkSession, f"{store}/batch={batch_id - 1}", schema)
         new = batch.withColumn("generation", F.lit(None).cast("long"))

@@ -20,6 +20,19 @@ from tallyfold.session import read_or_empty
 CLOCK = S.struct("seen timestamp")
 
 
+def cached_batch(run):
+    """Wrap a ``foreachBatch`` function so that its batch is read from the source once."""
+
+    def cached(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        try:
+            run(held, batch_id)
+        finally:
+            held.unpersist()
+
+    return cached
+
+
 def batches_before(
     spark: SparkSession, path: str, schema: T.StructType, batch_id: int
 ) -> DataFrame:

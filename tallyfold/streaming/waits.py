@@ -10,7 +10,12 @@ from tallyfold.functions.timing import after
 from tallyfold.operators.history import first_events
 from tallyfold.operators.waits import decide
 from tallyfold.session import read_or_empty
-from tallyfold.streaming.state import advance_clock, batches_before, write_batch
+from tallyfold.streaming.state import (
+    advance_clock,
+    batches_before,
+    cached_batch,
+    write_batch,
+)
 
 FIRST = S.struct("queue string, event_name string, payload string, emitted_at timestamp")
 OPEN = S.struct(
@@ -74,9 +79,9 @@ def wait_batches(store: str, late_s: int = 600, event_ttl_s: int | None = None):
             return known
         return known.where(after(F.col("emitted_at"), F.lit(event_ttl_s)) > now)
 
+    @cached_batch
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
         now = advance_clock(batch, "moment", f"{store}/clock", batch_id, late_s)
         names = remembered(spark, batch_id, now).select("queue", "event_name")
         arrived = first_events(batch.where(F.col("emitted_at").isNotNull())).select(*FIRST.names)
@@ -88,7 +93,6 @@ def wait_batches(store: str, late_s: int = 600, event_ttl_s: int | None = None):
         )
         known = remembered(spark, batch_id + 1, now)
         write_batch(decide(waits, known, now), f"{store}/waits", batch_id, "status")
-        batch.unpersist()
 
     return run
 
