@@ -14,11 +14,19 @@ from tallyfold.streaming.state import batches_before, cached_batch, write_batch
 EVENT_KEY = ["queue", "event_name"]
 
 
-def first_arrivals(events: DataFrame, ttl: str | None = None) -> DataFrame:
-    """The first event of each name to arrive; with ``ttl`` names are forgotten after it."""
+def first_arrivals(events: DataFrame, ttl: str | None = None, salts: int = 16) -> DataFrame:
+    """The first event of each name to arrive; with ``ttl`` names are forgotten after it.
+
+    Rows are first reduced per salt of a name, so a hot name reaches the last step with at
+    most ``salts`` rows.
+    """
+    salted = events.withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(salts)))
+    per_salt = [*EVENT_KEY, "_salt"]
     if ttl is None:
-        return events.dropDuplicates(EVENT_KEY)
-    return events.withWatermark("emitted_at", ttl).dropDuplicatesWithinWatermark(EVENT_KEY)
+        return salted.dropDuplicates(per_salt).dropDuplicates(EVENT_KEY).drop("_salt")
+    marked = salted.withWatermark("emitted_at", ttl)
+    reduced = marked.dropDuplicatesWithinWatermark(per_salt)
+    return reduced.dropDuplicatesWithinWatermark(EVENT_KEY).drop("_salt")
 
 
 def first_events_running(events: DataFrame) -> DataFrame:

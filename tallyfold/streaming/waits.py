@@ -25,20 +25,29 @@ SETTLED = S.struct("payload string, resolved_at timestamp")
 
 
 def joined_waits(
-    waits: DataFrame, events: DataFrame, event_ttl: str = "1 day", late: str = "10 minutes"
+    waits: DataFrame,
+    events: DataFrame,
+    event_ttl: str = "1 day",
+    late: str = "10 minutes",
+    salts: int = 8,
 ) -> DataFrame:
     """Left outer stream-stream join of waits with every event before their deadline.
 
     Events are kept for ``event_ttl`` before a wait, which is also the longest timeout. A
     wait with several events gives several rows; an unmatched wait appears once the
-    watermark passes. Waits need a finite timeout.
+    watermark passes. Waits need a finite timeout. Adaptive execution does not split
+    stateful joins, so the waits of one name are spread over ``salts`` keys and every event
+    goes to each of them.
     """
-    w = waits.withWatermark("wait_ts", late).withColumn(
-        "deadline", after(F.col("wait_ts"), F.col("timeout_s"))
+    w = waits.withWatermark("wait_ts", late).select(
+        "*",
+        after(F.col("wait_ts"), F.col("timeout_s")).alias("deadline"),
+        F.pmod(F.xxhash64("wait_id"), F.lit(salts)).alias("_salt"),
     )
     e = events.withWatermark("emitted_at", late).select(
         F.col("queue").alias("_queue"),
         F.col("event_name").alias("_name"),
+        F.explode(F.array([F.lit(i).cast("long") for i in range(salts)])).alias("_to"),
         "payload",
         "emitted_at",
     )
@@ -46,12 +55,13 @@ def joined_waits(
     match = (
         (F.col("queue") == F.col("_queue"))
         & (F.col("event_name") == F.col("_name"))
+        & (F.col("_salt") == F.col("_to"))
         & (F.col("emitted_at") >= F.col("wait_ts") - ttl)
         & (F.col("emitted_at") < F.col("deadline"))
         # Repeats the bound with a constant, which is what lets Spark drop old rows.
         & (F.col("emitted_at") <= F.col("wait_ts") + ttl)
     )
-    return w.join(e, match, "left_outer").drop("_queue", "_name")
+    return w.join(e, match, "left_outer").drop("_queue", "_name", "_salt", "_to")
 
 
 def wait_input(waits: DataFrame, events: DataFrame) -> DataFrame:

@@ -190,7 +190,8 @@ def test_first_events_in_update_mode(spark, source):
     assert rows(newest, *columns) == rows(whole, *columns)
 
 
-def test_first_arrivals_keep_one_row_per_name(spark, source):
-    ours = run(events.first_arrivals(source("signals"), ttl="60 days"), "arrivals")
+@pytest.mark.parametrize("ttl", [None, "60 days"])
+def test_first_arrivals_keep_one_row_per_name(spark, source, ttl):
+    ours = run(events.first_arrivals(source("signals"), ttl=ttl), "arrivals")
     names = view(spark, SF_DIR, "signals").select("queue", "event_name").distinct()
     assert rows(ours, "queue", "event_name") == rows(names, "queue", "event_name")
