@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, packing, sharding
+from tallyfold.llm import bpe, packing, rules, sharding, urls
 from tallyfold.llm.common import table
 
 
@@ -16,6 +16,22 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Fixed values of the contract: verdicts by host and path.
+URL_RULES = {
+    "org/": "allow",
+    "example.org/es/": "block",
+    "example.org/en/1": "block",
+    "com/fr/": "allow",
+    "com/de/": "block",
+}
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    judged = urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as pieces of packed sequences."""
     packed = packing.pack(table(spark, sf_dir, "documents"), vocabulary_path(), end_id=1)
@@ -34,6 +50,15 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rule and verdict of every document, false rejections held under a proven limit."""
+    judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", F.concat_ws(",", "failed").alias("failed_rules"),
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checksums of every document's ids and of the text decoded from them."""
     path = vocabulary_path()
@@ -45,7 +70,9 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": (op1_url_filter, None),
     "op3_packing": (op3_packing, None),
     "op5_sharding": (op5_sharding, None),
+    "op7_quality_rules": (op7_quality_rules, None),
     "op8_bpe": (op8_bpe, None),
 }
