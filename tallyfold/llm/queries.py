@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, packing, rules, sharding, urls
+from tallyfold.llm import bpe, hnsw, packing, rules, sharding, urls
 from tallyfold.llm.common import table
 
 
@@ -69,10 +69,16 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every row whose id is divisible by 100."""
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
+
+
 QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
     "op3_packing": (op3_packing, None),
     "op5_sharding": (op5_sharding, None),
     "op7_quality_rules": (op7_quality_rules, None),
     "op8_bpe": (op8_bpe, None),
+    "op9_hnsw": (op9_hnsw, None),
 }
