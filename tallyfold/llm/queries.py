@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, hnsw, packing, rules, sharding, urls
+from tallyfold.llm import bpe, hnsw, language, packing, rules, sharding, urls
 from tallyfold.llm.common import table
 
 
@@ -41,6 +41,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    found = language.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its shard and position, sizes near equal."""
     placed, _ = sharding.shard(table(spark, sf_dir, "documents"), shards=16)
@@ -77,6 +83,7 @@ def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
     "op3_packing": (op3_packing, None),
+    "op4_language_id": (op4_language_id, None),
     "op5_sharding": (op5_sharding, None),
     "op7_quality_rules": (op7_quality_rules, None),
     "op8_bpe": (op8_bpe, None),
