@@ -210,14 +210,14 @@ def fitted(
     order: int = ORDER,
     rows: int = SAMPLE_ROWS,
     max_grams: int = MAX_GRAMS,
-    margin: float = 1.25,
+    margin: float = 1.5,
 ) -> Model:
     """A model of every language that labelled documents name.
 
     Learns from a sample of about ``rows`` documents per language among those with text, a
     label, and crc32 of the id modulo 4 other than 2. Three quarters give the gram counts,
     which Spark adds up; a quarter calibrates rejection: for documents of a language, the
-    largest excess over their mean cross-entropy, times ``margin``, plus half a nat. Beyond
+    largest excess over their mean cross-entropy, times ``margin``, plus one nat. Beyond
     ``max_grams`` per language the rarest grams are left out.
     """
     labelled = docs.select(
@@ -273,7 +273,7 @@ def fitted(
             if len(rows_) >= 20:
                 model.usual[i] = rows_["cross_entropy"].mean()
                 found = excess(rows_["cross_entropy"], rows_["chars"], model.usual[i])
-                model.limits[i] = margin * float(found.max()) + 0.5
+                model.limits[i] = margin * float(found.max()) + 1.0
     return model
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, hnsw, language, packing, rules, sharding, urls
+from tallyfold.llm import bpe, hnsw, language, packing, quality, rules, sharding, urls
 from tallyfold.llm.common import table
 
 
@@ -80,6 +80,11 @@ def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
     "op3_packing": (op3_packing, None),
@@ -88,4 +93,5 @@ QUERIES = {
     "op7_quality_rules": (op7_quality_rules, None),
     "op8_bpe": (op8_bpe, None),
     "op9_hnsw": (op9_hnsw, None),
+    "op10_quality": (op10_quality, None),
 }
