@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, hnsw, language, packing, quality, rules, sharding, urls
+from tallyfold.llm import bpe, hnsw, jaccard, language, packing, quality, rules, sharding, urls
 from tallyfold.llm.common import table
 
 
@@ -32,6 +32,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of its links at a similarity of 0.9."""
+    return jaccard.join(table(spark, sf_dir, "documents"), words=3, p=90, q=100)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as pieces of packed sequences."""
     packed = packing.pack(table(spark, sf_dir, "documents"), vocabulary_path(), end_id=1)
@@ -87,6 +92,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
+    "op2_jaccard_join": (op2_jaccard_join, None),
     "op3_packing": (op3_packing, None),
     "op4_language_id": (op4_language_id, None),
     "op5_sharding": (op5_sharding, None),
