@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, hnsw, jaccard, language, packing, quality, rules, sharding, urls
+from tallyfold.llm import bpe, hnsw, jaccard, language, lm, packing, quality, rules, sharding, urls
 from tallyfold.llm.common import table
 
 
@@ -61,6 +61,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base and attention-model score of every document."""
+    return lm.score(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rule and verdict of every document, false rejections held under a proven limit."""
     judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -96,6 +101,7 @@ QUERIES = {
     "op3_packing": (op3_packing, None),
     "op4_language_id": (op4_language_id, None),
     "op5_sharding": (op5_sharding, None),
+    "op6_lm_scoring": (op6_lm_scoring, None),
     "op7_quality_rules": (op7_quality_rules, None),
     "op8_bpe": (op8_bpe, None),
     "op9_hnsw": (op9_hnsw, None),
