@@ -367,3 +367,22 @@ def join(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
+
+
+def one_each(docs: DataFrame, joined: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns: of each component the document with the smallest id.
+
+    ``joined`` is the result of ``join`` over ``docs``. Of repeated rows of an id one stays, the
+    text with the smallest hash. Rows with a null id are not linked and all stay.
+    """
+    first, copy = (f"{name}_{len(''.join(docs.columns))}_" for name in ("first", "copy"))
+    firsts = joined.filter("doc_id = component_id").select(F.col("doc_id").alias(first)).distinct()
+    named = docs.filter(F.col(doc_id).isNotNull())
+    once = Window.partitionBy(first).orderBy(F.xxhash64(text))
+    kept = (
+        named.join(firsts, F.col(doc_id).cast("long") == F.col(first))
+        .withColumn(copy, F.row_number().over(once))
+        .filter(F.col(copy) == 1)
+        .select(*docs.columns)
+    )
+    return kept.union(docs.filter(F.col(doc_id).isNull()))

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import id_remainder, map_batches
+from tallyfold.llm.common import id_remainder, keep_rows, map_batches
 from tallyfold.session import written
 
 ORDER = 4  # characters of the longest grams
@@ -282,6 +282,40 @@ def excess(cross_entropy, chars, usual):
     return np.maximum(0, cross_entropy - usual) * np.minimum(1, np.sqrt(chars / 200))
 
 
+def _judge(docs: DataFrame, model: Model):
+    """A function from texts to columns, for use inside tasks."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names, limits, usual = model.langs, model.limits, model.usual
+    key = uuid.uuid4().hex
+
+    def judge(values) -> dict:
+        texts = [t or "" for t in values]
+        sums = _scorer(key, shared).sums(texts)
+        mean = sums[:, :-1] / np.maximum(sums[:, -1:], 1)
+        known = np.array([any(map(str.isalpha, t)) for t in texts], bool) & bool(names)
+        if names:
+            best = mean.argmax(axis=1)
+            top = mean[np.arange(len(texts)), best]
+            share = 1 / np.exp(10 * (mean - top[:, None])).sum(axis=1)
+        else:
+            best, top, share = np.zeros(len(texts), int), np.zeros(len(texts)), np.zeros(len(texts))
+        over = excess(-top, sums[:, -1], usual[best] if names else 0.0)
+        return {
+            "lang_pred": [names[b] if k else "und" for b, k in zip(best, known)],
+            "score": np.where(known, share, 0.0), "cross_entropy": np.where(known, -top, 0.0),
+            "chars": sums[:, -1].astype(np.int64),
+            "rejected": [not k or bool(e > limits[b]) for k, e, b in zip(known, over, best)],
+        }
+
+    return judge
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text ``model`` does not reject."""
+    judge = _judge(docs, model)
+    return keep_rows(docs, [text], lambda b: [not r for r in judge(b.column(0).to_pylist())["rejected"]])
+
+
 def scored(
     docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", lang: str | None = None
 ) -> DataFrame:
@@ -294,32 +328,12 @@ def scored(
     is null or has no letter gets ``und``, score 0, and is rejected. ``label`` copies ``lang``
     for calibration and plays no part.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    names, limits, usual = model.langs, model.limits, model.usual
-    key = uuid.uuid4().hex
+    judge = _judge(docs, model)
 
     def run(batches):
-        scorer = _scorer(key, shared)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            sums = scorer.sums(texts)
-            mean = sums[:, :-1] / np.maximum(sums[:, -1:], 1)
-            known = np.array([any(map(str.isalpha, t)) for t in texts], bool) & bool(names)
-            if names:
-                best = mean.argmax(axis=1)
-                top = mean[np.arange(len(texts)), best]
-                share = 1 / np.exp(10 * (mean - top[:, None])).sum(axis=1)
-            else:
-                best, top, share = np.zeros(len(texts), int), np.zeros(len(texts)), np.zeros(len(texts))
-            over = excess(-top, sums[:, -1], usual[best] if names else 0.0)
-            yield {
-                "doc_id": batch.column(0), "label": batch.column(2),
-                "lang_pred": [names[b] if k else "und" for b, k in zip(best, known)],
-                "score": np.where(known, share, 0.0), "cross_entropy": np.where(known, -top, 0.0),
-                "chars": sums[:, -1].astype(np.int64),
-                "rejected": [not k or bool(e > limits[b]) for k, e, b in zip(known, over, best)],
-            }
+            found = judge(batch.column(1).to_pylist())
+            yield {"doc_id": batch.column(0), "label": batch.column(2), **found}
 
     label = F.lit(None).cast("string") if lang is None else F.col(lang).cast("string")
     source = docs.select(

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import id_remainder, map_batches
+from tallyfold.llm.common import id_remainder, keep_rows, map_batches
 from tallyfold.session import written
 
 SAMPLE_ROWS = 8000  # labelled documents of each class that a fit reads, on average
@@ -92,10 +92,8 @@ class Model:
 def ranked(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, seed: int = 0) -> Model:
     """Bradley-Terry weights: logistic loss on feature differences of (better, worse) pairs.
 
-    Pairs are drawn from the two classes. The cutoff is the quantile of the fitted scores that
-    splits off the share of worse documents, moved down to the lowest score between the two
-    classes' bulks that rejects no more good documents. With a class missing, every score is
-    ``CUT`` or higher.
+    Pairs are drawn from the two classes. The cutoff is the quantile of the fitted scores with
+    the least errors. With a class missing, every score is ``CUT``.
     """
     mean, spread = (x.mean(axis=0), x.std(axis=0) + 1e-6) if len(x) else (np.zeros(FEATURES), np.ones(FEATURES))
     model = Model(mean, spread, np.zeros(x.shape[1]), 0.0, 1.0)
@@ -183,6 +181,17 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
     return map_batches(source, run, "doc_id long, score double")
 
 
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that score ``CUT`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def good(batch):
+        x = features([t or "" for t in batch.column(0).to_pylist()])
+        return (shared.value.scores(x) >= CUT).tolist()
+
+    return keep_rows(docs, [text], good)
+
+
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document.
 

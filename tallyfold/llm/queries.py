@@ -37,15 +37,20 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), words=3, p=90, q=100)
 
 
-def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as pieces of packed sequences."""
-    packed = packing.pack(table(spark, sf_dir, "documents"), vocabulary_path(), end_id=1)
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    """Every document as pieces of packed sequences, their ids as checksums."""
+    packed = packing.pack(docs, vocabulary_path(), end_id=1)
     return packed.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset",
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as pieces of packed sequences."""
+    return packed_pieces(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document."""
     found = language.identify(table(spark, sf_dir, "documents"))
