@@ -292,7 +292,9 @@ def link_edges(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, words: in
                 "root": [o[2] for o in out], "blocks": [o[3] for o in out],
             }
 
-    texts = docs.join(placed.withColumnRenamed("first_id", "doc_id"), "doc_id")
+    # Sorted and merged at every size, so that the plan at 100 TB is the one that small runs show.
+    members = placed.withColumnRenamed("first_id", "doc_id").hint("merge")
+    texts = docs.join(members, "doc_id")
     texts = texts.select("doc_id", "text", "node", "root", "blocks")
     found = map_batches(texts, sets, "node long, shingles binary, root long, blocks int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
