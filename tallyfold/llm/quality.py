@@ -95,7 +95,11 @@ def ranked(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, seed: int = 0) -> M
     Pairs are drawn from the two classes. The cutoff is the quantile of the fitted scores with
     the least errors. With a class missing, every score is ``CUT``.
     """
-    mean, spread = (x.mean(axis=0), x.std(axis=0) + 1e-6) if len(x) else (np.zeros(FEATURES), np.ones(FEATURES))
+    if not len(x):
+        x = np.zeros((1, FEATURES))
+        y = np.ones(1)
+    # A floor on the spread, so that a feature that is constant here cannot outweigh the others.
+    mean, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 0.02)
     model = Model(mean, spread, np.zeros(x.shape[1]), 0.0, 1.0)
     better, worse = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     if not len(better) or not len(worse):
