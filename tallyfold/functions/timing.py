@@ -6,9 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Longer delays count as this one, some 6,000 years, so that no wake time overflows.
+LONGEST_S = 200_000_000_000
+
+
 def seconds_interval(seconds: Column) -> Column:
     zero = F.lit(0)
-    return F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
+    held = F.greatest(F.least(seconds, F.lit(LONGEST_S)), F.lit(-LONGEST_S))
+    bounded = F.when(seconds.isNotNull(), held)
+    return F.make_dt_interval(zero, zero, zero, bounded.cast("decimal(18,6)"))
 
 
 def whole_seconds(milliseconds: Column) -> Column:
@@ -37,6 +43,7 @@ def retry_delay(
     """Seconds before the attempt after ``attempt``; null factor is 2, null maximum no cap."""
     base = F.coalesce(base, F.lit(0.0))
     raised = base * F.pow(F.coalesce(factor, F.lit(2.0)), attempt - 1)
+    raised = F.when(base == 0, F.lit(0.0)).otherwise(raised)  # not zero times infinity
     delay = F.when(kind == "fixed", base).when(kind == "exponential", raised).otherwise(F.lit(0.0))
     return F.when(maximum.isNull(), delay).otherwise(F.least(delay, maximum))
 

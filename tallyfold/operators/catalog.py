@@ -29,17 +29,51 @@ def defer_unknown(runs: DataFrame, catalog: DataFrame, now: Column) -> DataFrame
     return unknown.withColumns({"delay_s": delay, "wake_at": after(now, delay)})
 
 
+def _registered(requests: DataFrame, catalog: DataFrame, default_queue: str) -> DataFrame:
+    """Requests with ``_registered``, the queue that counts for their name, and its defaults.
+
+    ``_queues`` is how many queues register the name. With one, that is the queue; with several
+    the request's own, else the client's. A request matches one registration at most.
+    """
+    queue = F.coalesce("catalog_queue", F.lit(default_queue))
+    options = [c for c in catalog.columns if c.startswith("default_")]
+    known = (
+        catalog.groupBy("task_name", queue.alias("_registered"))
+        .agg(*(F.max(c).alias(c) for c in options), F.max(F.lit(1)).alias("_one"))
+        .drop("_one")
+    )
+    names = known.groupBy("task_name").agg(
+        F.count(F.lit(1)).alias("_queues"), F.min("_registered").alias("_first_queue")
+    )
+    counted = requests.join(names, "task_name", "left").withColumn(
+        "_registered",
+        F.when(F.col("_queues") == 1, F.col("_first_queue")).when(
+            F.col("_queues") > 1, F.coalesce("queue", F.lit(default_queue))
+        ),
+    )
+    found = known.withColumn("_found", F.lit(True))
+    return counted.join(found, ["task_name", "_registered"], "left").withColumn(
+        "_registered", F.when(F.col("_found"), F.col("_registered"))
+    )
+
+
 def resolve_options(
-    requests: DataFrame, catalog: DataFrame, default_max_attempts: int = S.DEFAULT_MAX_ATTEMPTS
+    requests: DataFrame,
+    catalog: DataFrame,
+    default_max_attempts: int = S.DEFAULT_MAX_ATTEMPTS,
+    default_queue: str = "default",
 ) -> DataFrame:
-    """Fill omitted options: the request wins, then the task's own default, then the client's."""
-    defaults = catalog.select("task_name", "default_max_attempts", "default_max_duration_s")
-    joined = requests.join(defaults, "task_name", "left")
+    """Fill omitted options: the request wins, then the task's own default, then the client's.
+
+    Of a name that several queues register, the request's queue decides, then the client's.
+    """
+    joined = _registered(requests, catalog, default_queue)
     return joined.select(
         *requests.columns,
         F.coalesce("max_attempts", "default_max_attempts", F.lit(default_max_attempts)).alias(
             "resolved_max_attempts"
         ),
+        F.coalesce("max_delay_s", "default_max_delay_s").alias("resolved_max_delay_s"),
         F.coalesce("max_duration_s", "default_max_duration_s").alias("resolved_max_duration_s"),
     )
 
@@ -47,18 +81,17 @@ def resolve_options(
 def route(requests: DataFrame, catalog: DataFrame, default_queue: str) -> DataFrame:
     """Destination of each request, or why it is refused.
 
-    A registered name belongs to one queue, the client's when it names none, and an
-    override must equal it; a raw name needs an explicit queue.
+    A registered name belongs to the queues that register it, the client's where it names
+    none, and an override must be one of them; of several without an override the client's
+    counts. A raw name needs an explicit queue. Every request gets one answer.
     """
-    known = catalog.select(
-        "task_name",
-        F.coalesce("catalog_queue", F.lit(default_queue)).alias("_registered"),
-    )
-    joined = requests.join(known, "task_name", "left")
-    registered = F.col("_registered").isNotNull()
-    mismatch = registered & F.col("queue").isNotNull() & (F.col("queue") != F.col("_registered"))
-    reason = F.when(~registered & F.col("queue").isNull(), "queue_required").when(
-        mismatch, "queue_mismatch"
+    joined = _registered(requests, catalog, default_queue)
+    known, own = F.col("_queues").isNotNull(), F.col("_registered")
+    mismatch = known & F.col("queue").isNotNull() & ~F.coalesce(F.col("queue") == own, F.lit(False))
+    reason = (
+        F.when(~known & F.col("queue").isNull(), "queue_required")
+        .when(mismatch, "queue_mismatch")
+        .when(known & own.isNull(), "queue_required")
     )
     return joined.select(
         *requests.columns,

@@ -36,12 +36,19 @@ def fold_state(
 ) -> DataFrame:
     """One row per task: the first terminal row of its last generation, else the last row.
 
-    A spawn or retry starts a generation; rows before the first are ignored. With ``now``
-    a running attempt whose lease has run out counts as failed at the end of the lease.
-    Both steps are plain aggregates, so long histories are reduced before the shuffle.
+    A spawn or retry starts a generation; rows before the first are ignored. Heartbeats and
+    checkpoints extend a lease and change nothing else, so neither wakes a sleeping task nor
+    drops the lease of a running one: the latest lease that was given counts. With ``now`` a
+    running attempt whose lease has run out counts as failed at the end of the lease. The
+    history holds what the write operators accepted. Both steps are plain aggregates; the join
+    between them carries payloads of ending rows alone.
     """
-    rows = until(transitions, as_of)
     position = F.struct(*ORDER)
+    rows = until(transitions, as_of).select(
+        *TASK, *ORDER, "op", "run_id", "task_name", "attempt", "max_attempts", "wake_at",
+        "lease_s", "event_name", F.when(_ends(), F.col("payload")).alias("payload"),
+    )
+    extends = F.col("op").isin(*S.LEASE_OPS)
     starts = (
         rows.where(F.col("op").isin(*S.GENERATION_OPS))
         .groupBy(*TASK)
@@ -49,15 +56,19 @@ def fold_state(
     )
     facts = F.struct(
         "op", "ts", "run_id", "task_name", "attempt", "max_attempts", "payload",
-        "wake_at", "lease_s", "event_name",
+        "wake_at", "event_name",
     )
+    phase, leased = F.when(~extends, position), F.when(F.col("lease_s").isNotNull(), position)
+    lease_end = after(F.col("ts"), F.col("lease_s"))
     folded = (
         rows.join(starts, TASK)
         .where(position >= F.col("_start"))
         .groupBy(*TASK, "generation")
         .agg(
             F.min_by(F.when(_ends(), facts), F.when(_ends(), position)).alias("_end"),
-            F.max_by(facts, position).alias("_last"),
+            F.max_by(facts, phase).alias("_last"),
+            F.max_by(lease_end, leased).alias("_lease_until"),
+            F.max(F.when(extends, F.col("ts"))).alias("_extended_at"),
             F.min(F.when(F.col("op") == "claim", F.col("ts"))).alias("started_at"),
         )
     )
@@ -70,7 +81,7 @@ def fold_state(
         .when(op == "cancel", "cancelled")
         .when((op == "fail") & ended, "failed")
         .when(retries & waits, "sleeping")
-        .when(op.isin("claim", "heartbeat", "checkpoint"), "running")
+        .when(op == "claim", "running")
         .when(op.isin("schedule", "await_event"), "sleeping")
         .otherwise("pending")
     )
@@ -89,10 +100,10 @@ def fold_state(
         F.when(ended, F.col("_row.ts")).alias("ended_at"),
         F.when(state == "sleeping", F.col("_row.wake_at")).alias("wake_at"),
         F.when(state == "sleeping", F.col("_row.event_name")).alias("event_name"),
-        F.when(state == "running", after(F.col("_row.ts"), F.col("_row.lease_s"))).alias(
-            "lease_until"
-        ),
-        F.col("_row.ts").alias("updated_at"),
+        F.when(state == "running", F.col("_lease_until")).alias("lease_until"),
+        F.when(state == "running", F.greatest(F.col("_row.ts"), F.col("_extended_at")))
+        .otherwise(F.col("_row.ts"))
+        .alias("updated_at"),
     )
     return shown if now is None else expire_leases(shown, now)
 
@@ -212,13 +223,15 @@ def attempt_sequence(
     return rows.withColumn("gap_s", gap).drop("previous_ended_at")
 
 
-def due(wake_at: Column, now: Column) -> Column:
-    return wake_at <= now
+def due(state: Column, wake_at: Column, now: Column) -> Column:
+    """Pending runs are due unless they wake later; sleeping ones once their wake time is past."""
+    waiting = F.coalesce(wake_at <= now, state == "pending")
+    return state.isin("pending", "sleeping") & waiting
 
 
 def due_batch(runs: DataFrame, now: Column, k: int) -> DataFrame:
-    """Up to ``k`` claimable runs per queue: earliest wake time first, then id."""
-    ready = runs.where(F.col("state").isin("pending", "sleeping") & due(F.col("wake_at"), now))
+    """Up to ``k`` claimable runs per queue: no or the earliest wake time first, then id."""
+    ready = runs.where(due(F.col("state"), F.col("wake_at"), now))
     return top_per_group(ready, ["queue"], ["wake_at", "run_id"], k, rank="place")
 
 

@@ -75,6 +75,7 @@ def cleanup_all(
         (now.cast("timestamp_ntz") - F.col("cleanup_ttl").cast("interval")).alias("_cutoff"),
         F.coalesce("cleanup_limit", F.lit(S.DEFAULT_CLEANUP_LIMIT)).alias("_limit"),
     )
+    rules = written(rules, "rules")  # its size decides the join, and the histories stay put
     largest = rules.agg(F.max("_limit")).first()[0] or 0
 
     def oldest(rows: DataFrame, at: str, order: list[str]) -> DataFrame:
@@ -108,7 +109,7 @@ def list_queues(table: DataFrame) -> DataFrame:
 
 def drop_queue(table: DataFrame, queues: DataFrame) -> DataFrame:
     """All rows but those of the dropped queues; unknown names are no error."""
-    return table.join(queues.select("queue"), "queue", "left_anti")
+    return table.join(written(queues.select("queue").distinct(), "queues"), "queue", "left_anti")
 
 
 def partition_plan(policies: DataFrame, now: Column, existing: DataFrame) -> DataFrame:
@@ -134,6 +135,7 @@ def detach_candidates(
             "_oldest"
         ),
     )
+    rules = written(rules, "rules")
     old = partitions.join(rules, "queue").where(F.col("day") < F.col("_oldest"))
     held = rows.select("queue", "day").distinct()
     return old.select("queue", "day").join(held, ["queue", "day"], "left_anti")

@@ -9,8 +9,8 @@ from tallyfold.plans import ROWS_PER_SEGMENT, windowed
 from tallyfold.session import written
 
 # A literal name that looks like a numbered occurrence: base, "#", a number from 2.
-NUMBERED = r"^(.*)#([2-9]|[1-9][0-9]+)$"
-TRAILING_NUMBERS = r"((?:#(?:[2-9]|[1-9][0-9]+))*)$"
+NUMBERED = r"(?s)^(.*)#([2-9]|[1-9][0-9]+)\z"
+TRAILING_NUMBERS = r"(?s)((?:#(?:[2-9]|[1-9][0-9]+))*)\z"
 
 
 def numbered_name(name: Column, number: Column) -> Column:
@@ -70,9 +70,11 @@ def allocate_names(
         .withColumns(
             {
                 "_base": F.regexp_extract("name", NUMBERED, 1),
-                "_number": F.regexp_extract("name", NUMBERED, 2).cast("bigint"),
+                # A number beyond all calls has no rival.
+                "_number": F.regexp_extract("name", NUMBERED, 2).try_cast("bigint"),
             }
         )
+        .where(F.col("_number").isNotNull())
     )
     # Literals are usually few; written, their size is known and a small set is broadcast.
     literals = written(literals, "literal-names")

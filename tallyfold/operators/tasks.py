@@ -146,7 +146,7 @@ def _outcome(run: Callable[[], Ok | Err]) -> tuple:
             return ("completed", json.dumps(returned.value, allow_nan=False), None, None, None)
         if isinstance(returned, Err):
             return _error("TaskError", returned.reason)
-        return _error("RuntimeError", f"task returned {returned!r}; expected Ok or Err")
+        return _error("RuntimeError", f"task returned {returned!r}; neither Ok nor Err")
     except Exception as error:
         return _error(type(error).__name__, str(error), traceback.format_exc())
 
@@ -198,7 +198,10 @@ def run_tasks(
 
 def attempts_made(spark: SparkSession, store: str) -> DataFrame:
     """Attempt rows of a store, one per (task, attempt)."""
-    rows = read_or_empty(spark, store, ATTEMPTS)
+    return _one_per_attempt(read_or_empty(spark, store, ATTEMPTS))
+
+
+def _one_per_attempt(rows: DataFrame) -> DataFrame:
     kept = F.min(F.struct("state", "result", "failure")).alias("_row")
     return rows.groupBy("task_id", "attempt").agg(kept).select("task_id", "attempt", "_row.*")
 
@@ -223,7 +226,9 @@ def run_with_retries(
         allowed = [name for name, limit in limits.items() if limit >= number]
         todo = runs.where(F.col("task_name").isin(allowed))
         if number > 1:
-            failed = made.where((F.col("attempt") == number - 1) & (F.col("state") == "failed"))
+            # An attempt that a rerun wrote twice counts as completed if one of its rows does.
+            before = _one_per_attempt(made.where(F.col("attempt") == number - 1))
+            failed = before.where(F.col("state") == "failed")
             if failed.isEmpty():
                 break
             todo = todo.join(failed.select("task_id"), "task_id", "left_semi")

@@ -59,6 +59,8 @@ def _record(
     With ``once`` only the first legal request per task is taken: it releases the run.
     """
     rows = _decided(snapshot, requests, needs_running)
+    if "_refused" in requests.columns:
+        rows = rows.withColumn("reason", F.coalesce("reason", "_refused"))
     if once:
         # Whether a request is legal depends on its task alone, so the first one of all is
         # the first legal one.
@@ -163,16 +165,20 @@ def write_checkpoints(
     """Checkpoint rows that also extend the lease; a committed checkpoint is kept as it is.
 
     ``payload`` is the JSON state and may be null. Within the batch the first value per
-    checkpoint is taken.
+    checkpoint is taken; the others come back as ``superseded``, and requests for a committed
+    checkpoint as ``already_committed``.
     """
     step = ["task_id", "checkpoint_name"]
     done = checkpoints.where(F.col("status") == "committed").select(*step).distinct()
-    new = requests.join(done, step, "left_anti")
-    first = new.groupBy(*step).agg(F.min(F.struct(*REQUEST_ORDER)).alias("_first"))
-    new = new.join(first, step).where(F.struct(*REQUEST_ORDER) == F.col("_first")).drop("_first")
+    marked = requests.join(done.withColumn("_done", F.lit(True)), step, "left")
+    first = requests.groupBy(*step).agg(F.min(F.struct(*REQUEST_ORDER)).alias("_first_value"))
+    late = F.struct(*REQUEST_ORDER) != F.col("_first_value")
+    marked = marked.join(first, step, "left").withColumn(
+        "_refused", F.when(F.col("_done"), "already_committed").when(late, "superseded")
+    )
     return _record(
         snapshot,
-        new,
+        marked.drop("_done", "_first_value"),
         "checkpoint",
         once=False,
         payload=F.col("payload"),
@@ -194,11 +200,13 @@ def retry(
 ) -> DataFrame:
     """Retry failed tasks in place with the next attempt, or as a new task from attempt 1.
 
-    New ids are hashes of the old id and attempt, so running it twice adds no second task.
+    New ids are hashes of the old id and attempt, so running it twice adds no second task. The
+    first request per task counts; later ones come back as ``superseded``.
     """
     current = snapshot.select(*TASK, "attempt", "max_attempts", "task_name", "state")
-    first = requests.groupBy(*TASK).agg(F.min(F.struct(*REQUEST_ORDER)).alias("_at"))
-    rows = first.join(current, TASK, "left").withColumn("source_task_id", F.col("task_id"))
+    first = requests.groupBy(*TASK).agg(F.min(F.struct(*REQUEST_ORDER)).alias("_first"))
+    asked = requests.select(*TASK, F.struct(*REQUEST_ORDER).alias("_at")).join(first, TASK)
+    rows = asked.join(current, TASK, "left").withColumn("source_task_id", F.col("task_id"))
     reason = F.when(F.col("state").isNull(), "unknown_task").when(
         F.col("state") != "failed", F.concat(F.lit("not_failed:"), F.col("state"))
     )
@@ -208,7 +216,11 @@ def retry(
     floor = F.col("max_attempts") if spawn_new else F.greatest("max_attempts", next_attempt)
     limit = floor if max_attempts is None else F.lit(max_attempts)
     # A limit that is already used up leaves nothing to retry.
-    reason = F.coalesce(reason, F.when(limit < next_attempt, "no_attempts_left"))
+    reason = F.coalesce(
+        reason,
+        F.when(limit < next_attempt, "no_attempts_left"),
+        F.when(F.col("_at") != F.col("_first"), "superseded"),
+    )
     return rows.select(
         "queue",
         "source_task_id",

@@ -25,7 +25,7 @@ def _cut_sql(column: str, maximum: int) -> str:
 def audited_names(spark, sf):
     documents = read(spark, sf, "documents").select(
         "doc_id",
-        F.concat("source", F.lit(" "), F.substring("text", 1, 50)).alias("queue"),
+        F.concat("source", F.lit(" "), "text").alias("queue"),
         F.regexp_replace("lang", "en", "  ").alias("step"),
     )
     return audits.audit_names(documents, "queue", ["step"]).drop("queue")
@@ -68,7 +68,7 @@ def contract_audit(spark, sf):
     rows = view(spark, sf, "transitions").withColumn(
         "task_id", F.when(F.col("op") == "fail", F.lit("short")).otherwise(F.col("task_id"))
     )
-    ops = ("spawn", "claim", "complete", "fail")
+    ops = ("spawn", "retry", "claim", "heartbeat", "checkpoint", "complete", "cancel", "fail")
     return audits.contract_violations(
         rows,
         ids=["task_id", "run_id"],
@@ -223,10 +223,10 @@ def step_names(spark, sf):
 
 
 def audited_intervals(spark, sf):
-    """Documents' first words and order ages as interval strings."""
+    """Documents' texts and order ages as interval strings."""
     ages = view(spark, sf, "policies").select("queue", F.col("cleanup_ttl").alias("text"))
     words = read(spark, sf, "documents").select(
-        F.col("lang").alias("queue"), F.substring("text", 1, 12).alias("text")
+        F.col("lang").alias("queue"), "text"
     )
     orders = read(spark, sf, "orders").select(
         F.col("o_orderpriority").alias("queue"),
@@ -296,7 +296,7 @@ QUERIES = {
              CASE WHEN strlen(queue) = 0 THEN 'empty' WHEN strlen(queue) > 57 THEN 'too_long' END
                  AS queue_problem,
              CASE WHEN trim(step) = '' THEN 'empty' END AS step_problem
-           FROM (SELECT doc_id, concat(source, ' ', substr(text, 1, 50)) AS queue,
+           FROM (SELECT doc_id, concat(source, ' ', text) AS queue,
                         replace(lang, 'en', '  ') AS step FROM documents)""",
     ),
     "audit_json": (
@@ -329,8 +329,9 @@ QUERIES = {
                       CAST(0 AS BIGINT) AS run_id_not_id,
                       count(*) FILTER (seq < 0) AS seq_negative,
                       count(*) FILTER (attempt <= 0) AS attempt_not_positive,
-                      count(*) FILTER (op = 'schedule') AS op_unknown,
-                      count(*) FILTER (op IN ('fail', 'schedule')) = 0 AS accepted
+                      count(*) FILTER (op IN ('schedule', 'await_event')) AS op_unknown,
+                      count(*) FILTER (op IN ('fail', 'schedule', 'await_event')) = 0
+                          AS accepted
                     FROM transitions""",
         ),
     ),
@@ -466,7 +467,7 @@ QUERIES = {
                     FROM (SELECT queue, trim(text) <> '' AND try_cast(text AS INTERVAL) IS NOT NULL
                                  AS ok
                           FROM (SELECT queue, cleanup_ttl AS text FROM policies
-                                UNION ALL SELECT lang, substr(text, 1, 12) FROM documents
+                                UNION ALL SELECT lang, text FROM documents
                                 UNION ALL SELECT o_orderpriority,
                                             concat(CAST(o_custkey AS VARCHAR), ' hours')
                                           FROM orders))

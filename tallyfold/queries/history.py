@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyfold.operators import history, steps, writes
 from tallyfold.queries.views import NOW, sql, view
 
-ENDS = "(op IN ('complete', 'cancel') OR (op = 'fail' AND attempt >= max_attempts))"
+ENDS = "(op IN ('complete', 'cancel') OR (op = 'fail' AND attempt >= coalesce(max_attempts, 5)))"
 GENERATIONS = """, generations AS (
     SELECT *, CAST(sum(CASE WHEN op IN ('spawn', 'retry') THEN 1 ELSE 0 END)
                    OVER (PARTITION BY queue, task_id ORDER BY ts, seq) AS BIGINT) AS generation
@@ -18,18 +18,23 @@ FOLD = (
     SELECT *, {ENDS} AS ends FROM generations WHERE generation >= 1
     QUALIFY generation = max(generation) OVER (PARTITION BY queue, task_id)),
   chosen AS (
-    SELECT *, min(CASE WHEN op = 'claim' THEN ts END) OVER (PARTITION BY queue, task_id)
-                  AS started_at
+    SELECT * REPLACE (coalesce(max_attempts, 5) AS max_attempts),
+           min(CASE WHEN op = 'claim' THEN ts END) OVER (PARTITION BY queue, task_id)
+                  AS started_at,
+           arg_max(ts + to_seconds(lease_s), (ts, seq)) FILTER (lease_s IS NOT NULL)
+                  OVER (PARTITION BY queue, task_id) AS lease_end,
+           max(CASE WHEN op IN ('heartbeat', 'checkpoint') THEN ts END)
+                  OVER (PARTITION BY queue, task_id) AS extended_at
     FROM newest
     QUALIFY row_number() OVER (
         PARTITION BY queue, task_id
-        ORDER BY ends DESC, CASE WHEN ends THEN epoch_us(ts) ELSE -epoch_us(ts) END,
+        ORDER BY ends DESC, op IN ('heartbeat', 'checkpoint'), CASE WHEN ends THEN epoch_us(ts) ELSE -epoch_us(ts) END,
                  CASE WHEN ends THEN seq ELSE -seq END) = 1),
   stated AS (
     SELECT *, CASE WHEN op = 'complete' THEN 'completed' WHEN op = 'cancel' THEN 'cancelled'
                    WHEN op = 'fail' AND ends THEN 'failed'
                    WHEN op = 'fail' AND wake_at > ts THEN 'sleeping'
-                   WHEN op IN ('claim', 'heartbeat', 'checkpoint') THEN 'running'
+                   WHEN op = 'claim' THEN 'running'
                    WHEN op IN ('schedule', 'await_event') THEN 'sleeping'
                    ELSE 'pending' END AS state
     FROM chosen),
@@ -42,8 +47,8 @@ FOLD = (
            started_at, CASE WHEN ends THEN ts END AS ended_at,
            CASE WHEN state = 'sleeping' THEN wake_at END AS wake_at,
            CASE WHEN state = 'sleeping' THEN event_name END AS event_name,
-           CASE WHEN state = 'running' THEN ts + to_seconds(lease_s) END AS lease_until,
-           ts AS updated_at
+           CASE WHEN state = 'running' THEN lease_end END AS lease_until,
+           CASE WHEN state = 'running' THEN greatest(ts, extended_at) ELSE ts END AS updated_at
     FROM stated)"""
 )
 
@@ -138,7 +143,7 @@ def attempt_sequence(spark, sf):
 
 
 def attempt_budget(spark, sf):
-    return history.attempt_budget(view(spark, sf, "transitions").where("op = 'fail'"))
+    return history.attempt_budget(view(spark, sf, "transitions"))
 
 
 def named_steps(spark, sf):
@@ -315,9 +320,9 @@ QUERIES = {
         due_batch,
         sql(
             "runs",
-            body="""SELECT *, row_number() OVER (PARTITION BY queue ORDER BY wake_at, run_id)
+            body="""SELECT *, row_number() OVER (PARTITION BY queue ORDER BY wake_at NULLS FIRST, run_id)
                       AS place FROM runs
-                    WHERE state IN ('pending', 'sleeping') AND wake_at <= $now
+                    WHERE wake_at <= $now OR (wake_at IS NULL AND state = 'pending')
                     QUALIFY place <= 25""",
             now=f"TIMESTAMP '{NOW}'",
         ),
@@ -340,8 +345,8 @@ QUERIES = {
             body="""SELECT *, greatest(max_attempts - used, 0) AS left,
                       used >= max_attempts AS exhausted
                     FROM (SELECT queue, task_id, max(attempt) AS used,
-                                 arg_max(max_attempts, (ts, seq)) AS max_attempts
-                          FROM transitions WHERE op = 'fail' GROUP BY ALL)""",
+                                 coalesce(last(max_attempts ORDER BY ts, seq), 5) AS max_attempts
+                          FROM transitions GROUP BY ALL)""",
         ),
     ),
     "replay_steps": (

@@ -186,11 +186,21 @@ def claimable_runs(spark, sf):
     """Due and waiting runs per queue."""
     runs = view(spark, sf, "runs")
     return runs.groupBy("queue").agg(
-        F.count_if(history.due(F.col("wake_at"), now())).alias("due"),
-        F.count_if(~history.due(F.col("wake_at"), now())).alias("not_due"),
+        F.count_if(history.due(F.col("state"), F.col("wake_at"), now())).alias("due"),
+        F.count_if(~history.due(F.col("state"), F.col("wake_at"), now())).alias("not_due"),
     )
 
 
+# A name's only queue, or of several the one that the request or else the client names.
+ONE_NAME = f""", names AS (
+    SELECT *, coalesce(catalog_queue, '{DEFAULT_QUEUE}') AS queue,
+           count(*) OVER (PARTITION BY task_name) AS queues FROM catalog),
+  one AS (
+    SELECT r.request_id, c.queue, c.default_max_attempts, c.default_max_delay_s,
+           c.default_max_duration_s
+    FROM named_requests r JOIN names c
+      ON c.task_name = r.task_name
+     AND (c.queues = 1 OR c.queue = coalesce(r.queue, '{DEFAULT_QUEUE}')))"""
 CATALOG = f""", names AS (
     SELECT *, coalesce(catalog_queue, '{DEFAULT_QUEUE}') AS queue FROM catalog),
   named AS (
@@ -298,10 +308,12 @@ QUERIES = {
         sql(
             "catalog",
             "named_requests",
-            body="""SELECT r.*, coalesce(max_attempts, default_max_attempts, 5)
+            body=ONE_NAME
+            + """ SELECT r.*, coalesce(max_attempts, default_max_attempts, 5)
                         AS resolved_max_attempts,
+                      coalesce(max_delay_s, default_max_delay_s) AS resolved_max_delay_s,
                       coalesce(max_duration_s, default_max_duration_s) AS resolved_max_duration_s
-                    FROM named_requests r LEFT JOIN catalog USING (task_name)""",
+                    FROM named_requests r LEFT JOIN one USING (request_id)""",
         ),
     ),
     "route_requests": (
@@ -309,12 +321,15 @@ QUERIES = {
         sql(
             "catalog",
             "named_requests",
-            body=CATALOG
+            body=ONE_NAME
             + """, routed AS (
-                SELECT request_id, r.task_name, r.queue, c.queue AS registered,
-                       CASE WHEN c.queue IS NULL AND r.queue IS NULL THEN 'queue_required'
-                            WHEN c.queue <> r.queue THEN 'queue_mismatch' END AS reason
-                FROM named_requests r LEFT JOIN names c USING (task_name))
+                SELECT request_id, r.task_name, r.queue, o.queue AS registered,
+                       CASE WHEN r.task_name NOT IN (SELECT task_name FROM names)
+                            THEN CASE WHEN r.queue IS NULL THEN 'queue_required' END
+                            WHEN r.queue IS DISTINCT FROM o.queue AND r.queue IS NOT NULL
+                            THEN 'queue_mismatch'
+                            WHEN o.queue IS NULL THEN 'queue_required' END AS reason
+                FROM named_requests r LEFT JOIN one o USING (request_id))
               SELECT request_id, task_name, queue, reason,
                      CASE WHEN reason IS NULL THEN coalesce(registered, queue) END AS routed_queue
               FROM routed""",
@@ -417,9 +432,9 @@ QUERIES = {
         claimable_runs,
         sql(
             "runs",
-            body="""SELECT queue, count(*) FILTER (wake_at <= $now) AS due,
-                      count(*) FILTER (wake_at > $now) AS not_due
-                    FROM runs GROUP BY queue""",
+            body="""SELECT queue, count(*) FILTER (ready) AS due, count(*) FILTER (NOT ready) AS not_due
+                    FROM (SELECT *, coalesce(wake_at <= $now, state = 'pending') AS ready FROM runs)
+                    GROUP BY queue""",
             now=AT_NOW,
         ),
     ),

@@ -126,7 +126,7 @@ def stored_history(spark, sf):
 
 
 def _write_sql(op, event_type, *, once=True, running=True, payload="NULL", wake_at="NULL",
-               lease="NULL", event="NULL", source="later"):
+               lease="NULL", event="NULL", source="later", refused="NULL"):
     not_running = "WHEN state <> 'running' THEN 'not_running'" if running else ""
     superseded = (
         "CASE WHEN first_reason IS NULL AND row_number() OVER ("
@@ -143,7 +143,7 @@ def _write_sql(op, event_type, *, once=True, running=True, payload="NULL", wake_
                         WHEN state IN ('completed', 'failed', 'cancelled') THEN state
                         {not_running} END AS first_reason
             FROM taken r LEFT JOIN snapshot s USING (queue, task_id)),
-          final AS (SELECT *, {superseded if once else "first_reason"} AS reason FROM judged)
+          final AS (SELECT *, {superseded if once else f"coalesce(first_reason, {refused})"} AS reason FROM judged)
           SELECT queue, task_id, run_id, attempt, '{op}' AS op, ts, seq,
                  CAST({payload} AS VARCHAR) AS payload, CAST({wake_at} AS TIMESTAMP) AS wake_at,
                  CAST({lease} AS BIGINT) AS lease_s, CAST({event} AS VARCHAR) AS event_name,
@@ -161,12 +161,15 @@ FAIL_WAKE = """CASE WHEN attempt < max_attempts THEN
          ELSE ts + to_microseconds(CAST(1000000 * CASE WHEN milliseconds > 5000
                 THEN least(30 * pow(3, attempt - 1), 80) ELSE 30 END AS BIGINT)) END END"""
 NEW_CHECKPOINTS = f"""
-    SELECT l.*, concat('view-', CAST(seq % 20 AS VARCHAR)) AS checkpoint_name FROM later l
-    WHERE NOT EXISTS (
-      SELECT 1 FROM ({VIEWS["checkpoints"]}) c
-      WHERE c.status = 'committed' AND c.updated_at <= $now AND c.task_id = l.task_id
-        AND c.checkpoint_name = concat('view-', CAST(l.seq % 20 AS VARCHAR)))
-    QUALIFY row_number() OVER (PARTITION BY task_id, seq % 20 ORDER BY ts, seq) = 1"""
+    SELECT l.*, concat('view-', CAST(seq % 20 AS VARCHAR)) AS checkpoint_name,
+           CASE WHEN EXISTS (
+                  SELECT 1 FROM ({VIEWS["checkpoints"]}) c
+                  WHERE c.status = 'committed' AND c.updated_at <= $now AND c.task_id = l.task_id
+                    AND c.checkpoint_name = concat('view-', CAST(l.seq % 20 AS VARCHAR)))
+                THEN 'already_committed'
+                WHEN row_number() OVER (PARTITION BY task_id, seq % 20 ORDER BY ts, seq) > 1
+                THEN 'superseded' END AS refused
+    FROM later l"""
 
 
 def _retry_sql(spawn_new):
@@ -181,8 +184,9 @@ def _retry_sql(spawn_new):
         )
     return fold_sql(
         f""", asked AS (
-            SELECT queue, task_id, min(ts) AS ts, arg_min(seq, (ts, seq)) AS seq
-            FROM task_requests WHERE ts > $now AND event_type = 'signup' GROUP BY ALL),
+            SELECT queue, task_id, ts, seq, row_number() OVER (PARTITION BY queue, task_id
+                                                               ORDER BY ts, seq) > 1 AS late
+            FROM task_requests WHERE ts > $now AND event_type = 'signup'),
           joined AS (
             SELECT r.*, s.attempt, s.max_attempts, s.task_name, s.state,
                    CAST({next_attempt} AS INTEGER) AS next_attempt, {new_task} AS new_task
@@ -190,7 +194,8 @@ def _retry_sql(spawn_new):
           judged AS (
             SELECT *, CASE WHEN state IS NULL THEN 'unknown_task'
                            WHEN state <> 'failed' THEN concat('not_failed:', state)
-                           WHEN {limit} < next_attempt THEN 'no_attempts_left' END AS reason
+                           WHEN {limit} < next_attempt THEN 'no_attempts_left'
+                           WHEN late THEN 'superseded' END AS reason
             FROM joined)
           SELECT queue, task_id AS source_task_id, new_task AS task_id,
                  md5(concat({key}, chr(1), {number})) AS run_id, next_attempt AS attempt,
@@ -234,6 +239,7 @@ QUERIES = {
             lease=UP,
             event="checkpoint_name",
             source=NEW_CHECKPOINTS,
+            refused="refused",
         ),
     ),
     "cancel_tasks": (cancelled, _write_sql("cancel", "error", running=False)),
@@ -242,9 +248,10 @@ QUERIES = {
         sql(
             "runs",
             body="""SELECT run_id, queue, started_at, ended_at, 'claim' AS op, $now AS ts,
-                      CAST(row_number() OVER (PARTITION BY queue ORDER BY wake_at, run_id)
+                      CAST(row_number() OVER (PARTITION BY queue ORDER BY wake_at NULLS FIRST, run_id)
                            AS BIGINT) AS seq, CAST(2 AS BIGINT) AS lease_s
-                    FROM runs WHERE wake_at <= $now QUALIFY seq <= 40""",
+                    FROM runs WHERE wake_at <= $now OR (wake_at IS NULL AND state = 'pending')
+                    QUALIFY seq <= 40""",
             now=AT_NOW,
         ),
     ),

@@ -27,7 +27,7 @@ VIEWS = {
     "signals": """
         SELECT 'orders' AS queue, CAST(user_id AS STRING) AS event_name, props AS payload,
                ts AS emitted_at, event_id AS seq
-        FROM events WHERE event_type = 'purchase' AND value > 20""",
+        FROM events WHERE event_type = 'purchase'""",
     "waits": """
         SELECT CAST(event_id AS STRING) AS wait_id, 'orders' AS queue,
                CAST(user_id AS STRING) AS event_name, ts AS wait_ts,
@@ -37,15 +37,24 @@ VIEWS = {
         SELECT concat('q', CAST(user_id % 4 AS STRING)) AS queue,
                md5(CAST(user_id AS STRING)) AS task_id,
                md5(concat(CAST(user_id AS STRING), '-run')) AS run_id,
-               CAST(1 + event_id % 3 AS INT) AS attempt, CAST(3 AS INT) AS max_attempts,
+               CAST(1 + event_id % 3 AS INT) AS attempt,
+               CASE WHEN user_id % 5 > 0 THEN CAST(1 + user_id % 5 AS INT) END AS max_attempts,
                concat('user ', CAST(user_id AS STRING)) AS task_name,
-               CASE event_type WHEN 'signup' THEN 'spawn' WHEN 'view' THEN 'claim'
-                    WHEN 'click' THEN 'schedule' WHEN 'purchase' THEN 'complete'
+               CASE event_type
+                    WHEN 'signup' THEN CASE WHEN event_id % 3 = 0 THEN 'retry' ELSE 'spawn' END
+                    WHEN 'view' THEN CASE event_id % 4 WHEN 0 THEN 'heartbeat'
+                                     WHEN 1 THEN 'checkpoint' ELSE 'claim' END
+                    WHEN 'click' THEN CASE WHEN event_id % 2 = 0 THEN 'await_event'
+                                      ELSE 'schedule' END
+                    WHEN 'purchase' THEN CASE WHEN event_id % 4 = 0 THEN 'cancel'
+                                         ELSE 'complete' END
                     ELSE 'fail' END AS op,
                ts, event_id AS seq, props AS payload,
                CASE WHEN event_type IN ('click', 'error') THEN ts + INTERVAL 1 HOUR END AS wake_at,
-               CASE WHEN event_type = 'view' THEN CAST(14400 AS BIGINT) END AS lease_s,
-               CAST(NULL AS STRING) AS event_name
+               CASE WHEN event_type = 'view' AND event_id % 4 <> 1
+                    THEN CAST(7200 * (1 + event_id % 3) AS BIGINT) END AS lease_s,
+               CASE WHEN event_type = 'click' AND event_id % 2 = 0
+                    THEN concat('event ', CAST(event_id % 7 AS STRING)) END AS event_name
         FROM events""",
     "steps": """
         SELECT md5(CAST(user_id AS STRING)) AS task_id, event_type AS name, ts, event_id AS seq
@@ -56,10 +65,11 @@ VIEWS = {
                CASE WHEN value >= 2 THEN props END AS state,
                CASE WHEN value < 60 THEN 'committed' ELSE 'pending' END AS status,
                md5(CAST(event_id AS STRING)) AS owner_run_id, ts AS updated_at
-        FROM events WHERE event_type IN ('purchase', 'click', 'view')""",
+        FROM events""",
     "runs": """
         SELECT md5(CAST(event_id AS STRING)) AS run_id, event_type AS queue, ts AS started_at,
-               ts + INTERVAL 1 HOUR AS ended_at, ts + INTERVAL 1 HOUR AS wake_at,
+               ts + INTERVAL 1 HOUR AS ended_at,
+               CASE WHEN event_id % 9 > 0 THEN ts + INTERVAL 1 HOUR END AS wake_at,
                CASE WHEN value < 40 THEN 'sleeping' ELSE 'pending' END AS state
         FROM events""",
     "beats": """
@@ -91,15 +101,22 @@ VIEWS = {
                    AS catalog_queue,
                CASE WHEN n_regionkey > 1 THEN CAST(n_regionkey AS INT) END AS default_max_attempts,
                CASE WHEN n_regionkey > 2 THEN CAST(60 * n_regionkey AS BIGINT) END
-                   AS default_max_duration_s
-        FROM nation WHERE n_regionkey <> 4""",
+                   AS default_max_duration_s,
+               CASE WHEN n_regionkey <> 2 THEN CAST(30 * n_nationkey AS BIGINT) END
+                   AS default_max_delay_s
+        FROM nation
+        UNION ALL
+        SELECT CAST(n_nationkey AS STRING), concat(n_name, ' twice'), 'region-1', CAST(9 AS INT),
+               CAST(NULL AS BIGINT), CAST(7 AS BIGINT)
+        FROM nation WHERE n_regionkey = 2""",
     "named_requests": """
         SELECT CAST(c_custkey AS STRING) AS request_id, CAST(c_nationkey AS STRING) AS task_name,
                md5(CAST(c_custkey AS STRING)) AS run_id,
                CASE c_mktsegment WHEN 'BUILDING' THEN 'region-1' WHEN 'MACHINERY' THEN 'default'
                     END AS queue,
                CASE WHEN c_acctbal < 2000 THEN CAST(1 + c_custkey % 4 AS INT) END AS max_attempts,
-               CASE WHEN c_acctbal > 7000 THEN CAST(c_custkey AS BIGINT) END AS max_duration_s
+               CASE WHEN c_acctbal > 7000 THEN CAST(c_custkey AS BIGINT) END AS max_duration_s,
+               CASE WHEN c_acctbal < 0 THEN CAST(c_custkey AS BIGINT) END AS max_delay_s
         FROM customer""",
     "spans": """
         SELECT concat(CAST(conv_id AS STRING), '-',

@@ -79,6 +79,7 @@ TABLES = {
 # Task states, the terminal ones, and what each transition leads to.
 STATES = ("pending", "running", "sleeping", "completed", "failed", "cancelled")
 TERMINAL_STATES = ("completed", "failed", "cancelled")
+LEASE_OPS = ("heartbeat", "checkpoint")
 GENERATION_OPS = ("spawn", "retry")
 ATTEMPT_END_OPS = ("complete", "fail", "cancel")
 

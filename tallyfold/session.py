@@ -17,6 +17,10 @@ SETTINGS = {
     # Split a hot join key even when the aggregate above then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # An object that repeats a key is valid JSON.
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    # Cut groups to their first rows before the shuffle, whatever the limit.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2000000000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -56,6 +60,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's file system of ``path`` has it."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path``, or no rows while nothing was written there."""
     try:

@@ -43,19 +43,28 @@ def read_history(
     queue: str | None = None,
     as_of: Column | None = None,
     time_column: str = "ts",
+    storage_mode: str = "unpartitioned",
 ) -> DataFrame:
     """Read a history table under its fixed schema and refuse another schema version.
 
-    The queue filter prunes partitions; the version check reads one small column.
+    The queue filter prunes partitions, and in a table that is partitioned by the day of
+    ``time_column`` so does ``as_of``. The version check reads one small column, and its
+    filter reaches the files' statistics.
     """
     schema = S.TABLES[table]
     marked = S.copy_of(schema).add("schema_version", "string")
+    if storage_mode == "partitioned":
+        marked = marked.add("day", "date")
     stored = spark.read.schema(marked).parquet(path)
     if queue is not None:
         stored = stored.where(F.col("queue") == queue)
-    other = F.coalesce(F.col("schema_version") != S.SCHEMA_VERSION, F.lit(True))
+    version = F.col("schema_version")
+    other = (version != S.SCHEMA_VERSION) | version.isNull()
     found = stored.where(other).select("schema_version").limit(1).collect()
     if found:
         raise SchemaMismatch(f"expected {S.SCHEMA_VERSION}, found {found[0][0]}")
-    rows = stored.select(*schema.names)
-    return rows if as_of is None else rows.where(F.col(time_column) <= as_of)
+    if as_of is not None:
+        stored = stored.where(F.col(time_column) <= as_of)
+        if storage_mode == "partitioned":
+            stored = stored.where(F.col("day") <= F.to_date(as_of))
+    return stored.select(*schema.names)

@@ -9,7 +9,7 @@ from tallyfold import schemas as S
 from tallyfold.operators.history import ORDER, TASK, ends_task, fold_state, is_terminal
 from tallyfold.operators.writes import submit
 from tallyfold.session import read_or_empty
-from tallyfold.streaming.state import batches_before, cached_batch, write_batch
+from tallyfold.streaming.state import batch_before, batches_before, cached_batch, write_batch
 
 EVENT_KEY = ["queue", "event_name"]
 
@@ -138,7 +138,7 @@ def snapshot_batches(store: str):
 
     @cached_batch
     def run(batch: DataFrame, batch_id: int) -> None:
-        before = read_or_empty(batch.sparkSession, f"{store}/batch={batch_id - 1}", schema)
+        before = batch_before(batch.sparkSession, store, batch_id, schema)
         new = batch.withColumn("generation", F.lit(None).cast("long"))
         merged = compact_history(before.unionByName(new.select(*schema.names)))
         write_batch(merged, store, batch_id)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold import schemas as S
-from tallyfold.session import read_or_empty
+from tallyfold.session import exists, read_or_empty
 
 CLOCK = S.struct("seen timestamp")
 
@@ -41,6 +41,18 @@ def batches_before(
     return read_or_empty(spark, path, labelled).where(F.col("batch") < batch_id).drop("batch")
 
 
+def batch_before(spark: SparkSession, path: str, batch_id: int, schema: T.StructType, *parts: str) -> DataFrame:
+    """What the batch before wrote below ``path``; only the first batch has none.
+
+    A later batch without its predecessor would silently lose open state, for example under a
+    new stream checkpoint over an old store or after a folder was removed, so it fails.
+    """
+    folder = f"{path}/batch={batch_id - 1}"
+    if batch_id > 0 and not exists(spark, folder):
+        raise FileNotFoundError(f"state of batch {batch_id - 1} is missing: {folder}")
+    return read_or_empty(spark, "/".join([folder, *parts]), schema)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, *parts: str) -> None:
     df.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/batch={batch_id}")
 
@@ -48,7 +60,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int, *parts: str) -> None:
 def advance_clock(batch: DataFrame, column: str, path: str, batch_id: int, late_s: int) -> Column:
     """The newest time seen so far less the allowed lateness, kept with the batch."""
     spark = batch.sparkSession
-    earlier = read_or_empty(spark, f"{path}/batch={batch_id - 1}", CLOCK)
+    earlier = batch_before(spark, path, batch_id, CLOCK)
     seen = batch.select(F.col(column).alias("seen")).unionByName(earlier)
     newest = seen.agg(F.max("seen").alias("seen")).first()[0] or datetime(1970, 1, 1)
     write_batch(spark.createDataFrame([(newest,)], CLOCK).coalesce(1), path, batch_id)

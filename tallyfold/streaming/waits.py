@@ -12,6 +12,7 @@ from tallyfold.operators.waits import decide
 from tallyfold.session import read_or_empty
 from tallyfold.streaming.state import (
     advance_clock,
+    batch_before,
     batches_before,
     cached_batch,
     write_batch,
@@ -97,8 +98,8 @@ def wait_batches(store: str, late_s: int = 600, event_ttl_s: int | None = None):
         arrived = first_events(batch.where(F.col("emitted_at").isNotNull())).select(*FIRST.names)
         new = arrived.join(names, names.columns, "left_anti")
         write_batch(new, f"{store}/events", batch_id)
-        still_open = f"{store}/waits/batch={batch_id - 1}/status=sleeping"
-        waits = read_or_empty(spark, still_open, OPEN).unionByName(
+        open_before = batch_before(spark, f"{store}/waits", batch_id, OPEN, "status=sleeping")
+        waits = open_before.unionByName(
             batch.where(F.col("wait_id").isNotNull()).select(*OPEN.names)
         )
         known = remembered(spark, batch_id + 1, now)

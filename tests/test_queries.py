@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
-from tallyfold.queries.check import compare, connect
+from compare import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
