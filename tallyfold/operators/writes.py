@@ -13,6 +13,8 @@ from tallyfold.operators.audits import option_problems
 from tallyfold.operators.history import TASK, dedupe_requests, due_batch, is_terminal
 
 REQUEST_ORDER = ["ts", "seq"]
+#: What a request says about its task, besides ids; ``submit`` passes on those that are given.
+SPAWN_COLUMNS = ("task_name", "params", "headers", "max_attempts", "requested_at")
 
 
 def new_id(*parts: Column) -> Column:
@@ -243,7 +245,8 @@ def submit(existing: DataFrame, requests: DataFrame, hook=None) -> DataFrame:
 
     ``hook`` maps the requests to requests, for example to add headers; names, payloads
     and options are checked before and after it. ``existing`` holds queue,
-    idempotency_key, task_id, run_id and attempt.
+    idempotency_key, task_id, run_id and attempt. The task's name, parameters, headers and
+    limit come along; ``spawn_history`` makes them rows of the history.
     """
     checked = _with_problem(requests)
     if hook is not None:
@@ -260,6 +263,7 @@ def submit(existing: DataFrame, requests: DataFrame, hook=None) -> DataFrame:
         F.lit(None).cast("int").alias("attempt"),
         F.lit(False).alias("created"),
         "problem",
+        *(c for c in checked.columns if c in SPAWN_COLUMNS),
     )
     key = ["queue", "idempotency_key"]
     known = existing.where(F.col("idempotency_key").isNotNull()).select(
@@ -280,10 +284,37 @@ def submit(existing: DataFrame, requests: DataFrame, hook=None) -> DataFrame:
         F.coalesce("_attempt", F.lit(1)).alias("attempt"),
         (F.col("created") & F.col("_task_id").isNull()).alias("created"),
         F.lit(None).cast("string").alias("problem"),
+        *(c for c in checked.columns if c in SPAWN_COLUMNS),
     )
     return spawned.unionByName(refused)
 
 
+def spawn_history(
+    submitted: DataFrame, default_max_attempts: int = S.DEFAULT_MAX_ATTEMPTS
+) -> DataFrame:
+    """The history rows of the tasks that ``submit`` created, to append to ``transitions``.
+
+    ``params`` becomes the payload. Rows of a task are numbered from 0, the spawn.
+    """
+    given = {c: F.col(c) if c in submitted.columns else F.lit(None) for c in SPAWN_COLUMNS}
+    return submitted.where("created").select(
+        *TASK,
+        "run_id",
+        "attempt",
+        F.coalesce(given["max_attempts"].cast("int"), F.lit(default_max_attempts)).alias(
+            "max_attempts"
+        ),
+        given["task_name"].cast("string").alias("task_name"),
+        F.lit("spawn").alias("op"),
+        F.col("requested_at").alias("ts"),
+        F.lit(0).cast("long").alias("seq"),
+        given["params"].cast("string").alias("payload"),
+        F.lit(None).cast("timestamp_ntz").alias("wake_at"),
+        F.lit(None).cast("long").alias("lease_s"),
+        F.lit(None).cast("string").alias("event_name"),
+    )
+
+
 def _with_problem(requests: DataFrame) -> DataFrame:
     """The first broken rule of each request: names, payload, then options."""
     rules = [queue_problem(F.col("queue")), durable_problem(F.col("task_name"))]

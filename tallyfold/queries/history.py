@@ -80,7 +80,27 @@ def submit_requests(spark, sf):
     requests = view(spark, sf, "requests")
     earlier = requests.where(F.col("requested_at") < now())
     known = writes.submit(_no_tasks(spark), earlier).where("created")
-    return writes.submit(known, requests.where(F.col("requested_at") >= now()))
+    found = writes.submit(known, requests.where(F.col("requested_at") >= now()))
+    return found.drop("task_name", "params", "requested_at")
+
+
+def submit_with_hook(spark, sf):
+    """Requests whose hook names the queue in the task name and refuses nothing by itself."""
+    requests = view(spark, sf, "requests")
+
+    def named(rows):
+        return rows.withColumn("task_name", F.concat("queue", F.lit("/"), "task_name"))
+
+    found = writes.submit(_no_tasks(spark), requests, hook=named)
+    return found.select("request_id", "queue", "task_id", "created", "task_name", "params", "problem")
+
+
+def claim_from_history(spark, sf):
+    """Submitted tasks, folded from their spawn rows and claimed."""
+    submitted = writes.submit(_no_tasks(spark), view(spark, sf, "requests"))
+    state = history.fold_state(writes.spawn_history(submitted), now=now())
+    claimed = writes.claim(state, now(), 50, 2_500)
+    return claimed.select("queue", "task_id", "run_id", "attempt", "op", "ts", "seq", "lease_s")
 
 
 def _no_tasks(spark):
@@ -185,7 +205,38 @@ STEP_VIEW = """, named AS (
     QUALIFY row_number() OVER (PARTITION BY task_id, checkpoint_name
                                ORDER BY updated_at DESC, owner_run_id DESC) = 1)"""
 
+SUBMITTED = """, submitted AS (
+    SELECT *, md5(concat(queue, chr(1), winner)) AS task_id, request_id = winner AS created
+    FROM (SELECT *, CASE WHEN idempotency_key IS NULL THEN request_id
+            ELSE first_value(request_id) OVER (PARTITION BY queue, idempotency_key
+                 ORDER BY requested_at, request_id) END AS winner
+          FROM requests))"""
+
 QUERIES = {
+    "submit_with_hook": (
+        submit_with_hook,
+        sql(
+            "requests",
+            body=SUBMITTED
+            + """ SELECT request_id, queue, task_id, created,
+                    concat(queue, '/', task_name) AS task_name, params,
+                    CAST(NULL AS VARCHAR) AS problem FROM submitted""",
+        ),
+    ),
+    "claim_from_history": (
+        claim_from_history,
+        sql(
+            "requests",
+            body=SUBMITTED
+            + """ SELECT queue, task_id, md5(concat(task_id, chr(1), '1')) AS run_id,
+                    CAST(1 AS INTEGER) AS attempt, 'claim' AS op, $now AS ts,
+                    row_number() OVER (PARTITION BY queue
+                      ORDER BY md5(concat(task_id, chr(1), '1'))) AS seq,
+                    CAST(3 AS BIGINT) AS lease_s
+                  FROM submitted WHERE created QUALIFY seq <= 50""",
+            now=f"TIMESTAMP '{NOW}'",
+        ),
+    ),
     "first_events": (
         first_events,
         sql(

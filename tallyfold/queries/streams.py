@@ -5,21 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.queries.history import FOLD
+from tallyfold.operators.history import ends_task
+from tallyfold.queries.history import ENDS, FOLD
 from tallyfold.queries.views import read, sql, view
 from tallyfold.session import new_path
 from tallyfold.streaming import events, timers, waits
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LATE_MINUTES = 10
+SLICES = 4
+
+
+def _slices(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """The events written in order of time as slices, and the files of a slice.
+
+    So every stream runs several batches, and its state has to cross them.
+    """
+    events_ = read(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = events_.agg(F.percentile_approx(at, [i / SLICES for i in range(1, SLICES)])).first()[0]
+    folder = new_path(spark, "event-slices")
+    number = F.lit(0)
+    for cut in cuts or []:
+        number = number + (at > cut).cast("int")
+    for i in range(SLICES):
+        events_.where(number == i).write.mode("append").parquet(folder)
+    files = len(spark.read.parquet(folder).inputFiles())
+    return folder, -(-files // SLICES)
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view over the events file as a stream, with timestamps that can carry a watermark."""
+    """A view over the events as a stream of several batches, with timestamps that can carry a watermark."""
     schema = read(spark, sf_dir, "events").schema
-    source = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+    folder, files = _slices(spark, sf_dir)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
     rows = view(spark, sf_dir, name, events=source)
     times = [f.name for f in rows.schema if f.dataType.typeName() == "timestamp_ntz"]
     return rows.withColumns({c: F.col(c).cast("timestamp") for c in times})
@@ -78,7 +97,7 @@ def submitted(spark, sf):
 
 def joined_waits(spark, sf):
     found = waits.joined_waits(
-        stream(spark, sf, "waits").where("timeout_s IS NOT NULL"), stream(spark, sf, "signals")
+        stream(spark, sf, "waits"), stream(spark, sf, "signals")
     )
     shown = found.select("wait_id", "event_name", "wait_ts", "emitted_at", "payload")
     return finish(shown, "joined-waits")
@@ -103,7 +122,9 @@ def lease_alerts(spark, sf):
 
 
 def woken_runs(spark, sf):
-    rows = stream(spark, sf, "transitions").where("op = 'schedule'")
+    rows = stream(spark, sf, "transitions")
+    ends = ends_task(F.col("op"), F.col("attempt"), F.col("max_attempts"))
+    rows = rows.withColumn("ended", ends)
     return _alerts(spark, rows, timers.wake_deadlines(), "woken-runs")
 
 
@@ -174,7 +195,12 @@ QUERIES = {
                    AND emitted_at >= wait_ts - INTERVAL 1 DAY
                    AND emitted_at < wait_ts + to_seconds(timeout_s)
                   WHERE emitted_at IS NOT NULL
-                     OR wait_ts + INTERVAL 1 DAY < (SELECT mark FROM mark)""",
+                     OR wait_ts + INTERVAL 1 DAY < (SELECT mark FROM mark)
+                  UNION ALL
+                  SELECT wait_id, w.event_name, wait_ts, emitted_at, payload
+                  FROM waits w JOIN signals e ON e.event_name = w.event_name
+                   AND e.queue = w.queue AND emitted_at >= wait_ts - INTERVAL 1 DAY
+                  WHERE timeout_s IS NULL""",
         ),
     ),
     "stream_resolve_waits": (
@@ -224,12 +250,12 @@ QUERIES = {
         sql(
             "transitions",
             body=", "
-            + MARK.replace("$source", "SELECT ts AS moment FROM transitions WHERE op = 'schedule'")
-            + """ SELECT run_id, seq, 'wake' AS level, wake_at AS due_at FROM (
+            + MARK.replace("$source", "SELECT ts AS moment FROM transitions")
+            + f""" SELECT run_id, seq, 'wake' AS level, wake_at AS due_at FROM (
                     SELECT *, coalesce(lead(ts) OVER (PARTITION BY run_id ORDER BY ts, seq),
                                        (SELECT mark FROM mark)) AS until
-                    FROM transitions WHERE op = 'schedule')
-                  WHERE wake_at <= until""",
+                    FROM transitions)
+                  WHERE wake_at <= until AND NOT {ENDS}""",
         ),
     ),
     "stream_terminal_results": (

@@ -65,6 +65,19 @@ def durable_steps(spark, sf):
     )
 
 
+def _doubled(context, execute):
+    """A wrapper around every execution: numbers come back doubled."""
+    outcome = execute()
+    twice = isinstance(outcome, Ok) and isinstance(outcome.value, int)
+    return Ok(2 * outcome.value) if twice else outcome
+
+
+def tasks_wrapped(spark, sf):
+    cores = spark.sparkContext.defaultParallelism
+    done = written(run_tasks(_runs(spark, sf), REGISTRY, wrap=_doubled, partitions=cores), "wrapped")
+    return done.select("task_id", "state", "result")
+
+
 WORDS = "len(string_split(text, ' '))"
 ATTEMPT_SQL = f"""SELECT CAST(doc_id AS VARCHAR) AS task_id, lang, {WORDS} AS words,
     length(text) AS chars FROM documents"""
@@ -84,6 +97,15 @@ QUERIES = {
             FROM (SELECT *, CASE lang WHEN 'en' THEN words > 300 WHEN 'de' THEN chars > 500
                                  END AS bad FROM ({ATTEMPT_SQL}))""",
     ),
+    "run_wrapped": (
+        tasks_wrapped,
+        f"""SELECT task_id, CASE WHEN lang NOT IN ('en', 'de') THEN 'deferred'
+                   WHEN bad THEN 'failed' ELSE 'completed' END AS state,
+              CASE WHEN NOT bad AND lang = 'en' THEN concat('{{"words": ', words, '}}')
+                   WHEN NOT bad AND lang = 'de' THEN CAST(2 * chars AS VARCHAR) END AS result
+            FROM (SELECT *, CASE lang WHEN 'en' THEN words > 300 WHEN 'de' THEN chars > 500
+                                 END AS bad FROM ({ATTEMPT_SQL}))""",
+    ),
     "run_with_retries": (
         tasks_with_retries,
         f"""SELECT task_id, CAST(CASE WHEN lang = 'en' AND words > 300 THEN 3

@@ -31,14 +31,16 @@ def joined_waits(
     event_ttl: str = "1 day",
     late: str = "10 minutes",
     salts: int = 8,
+    longest_timeout_s: int = 86_400,
 ) -> DataFrame:
-    """Left outer stream-stream join of waits with every event before their deadline.
-
-    Events are kept for ``event_ttl`` before a wait, which is also the longest timeout. A
-    wait with several events gives several rows; an unmatched wait appears once the
-    watermark passes. Waits need a finite timeout. Adaptive execution does not split
-    stateful joins, so the waits of one name are spread over ``salts`` keys and every event
-    goes to each of them.
+    """Stream-stream join of waits with every event before their deadline.
+
+    Events are kept for ``event_ttl`` before a wait. A wait with several events gives several
+    rows. Waits of at most ``longest_timeout_s`` are an outer join, whose state ends with that
+    bound: an unmatched one appears once the watermark passes. Longer waits, and those without
+    a timeout, stay in state until an event comes and appear only then, so no match is cut off.
+    Adaptive execution does not split stateful joins, so the waits of one name are spread over
+    ``salts`` keys and every event goes to each of them.
     """
     w = waits.withWatermark("wait_ts", late).select(
         "*",
@@ -53,16 +55,21 @@ def joined_waits(
         "emitted_at",
     )
     ttl = F.expr(f"INTERVAL {event_ttl}")
-    match = (
+    in_time = (
         (F.col("queue") == F.col("_queue"))
         & (F.col("event_name") == F.col("_name"))
         & (F.col("_salt") == F.col("_to"))
         & (F.col("emitted_at") >= F.col("wait_ts") - ttl)
-        & (F.col("emitted_at") < F.col("deadline"))
-        # Repeats the bound with a constant, which is what lets Spark drop old rows.
-        & (F.col("emitted_at") <= F.col("wait_ts") + ttl)
+        & F.coalesce(F.col("emitted_at") < F.col("deadline"), F.lit(True))
+    )
+    # Repeats the bound with a constant, which is what lets Spark drop old rows.
+    bounded = F.col("emitted_at") <= F.col("wait_ts") + F.expr(
+        f"INTERVAL {int(longest_timeout_s)} SECOND"
     )
-    return w.join(e, match, "left_outer").drop("_queue", "_name", "_salt", "_to")
+    short = F.coalesce(F.col("timeout_s") <= longest_timeout_s, F.lit(False))
+    ending = w.where(short).join(e, in_time & bounded, "left_outer")
+    lasting = w.where(~short).join(e, in_time, "inner")
+    return ending.unionByName(lasting).drop("_queue", "_name", "_salt", "_to")
 
 
 def wait_input(waits: DataFrame, events: DataFrame) -> DataFrame:
