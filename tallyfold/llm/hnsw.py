@@ -171,6 +171,9 @@ def indexed(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> tuple[Data
         "dim int, shard int, entry int, vectors binary, links array<binary>, ids binary, "
         "sizes binary"
     )
+    # A task for every shard: building is work for the processor, however few the bytes.
+    total = shards.agg(F.coalesce(F.sum("shards"), F.lit(1))).first()[0]
+    placed = placed.repartition(int(total), "dim", "shard")
     graphs = placed.groupBy("dim", "shard").applyInPandas(graph_of, schema)
     return written(graphs, "graphs"), shards
 
@@ -228,9 +231,13 @@ def nearest(
         return pd.DataFrame(found, columns=names)
 
     keys = ["dim", "shard", "part"]
+    tasks = int(shards.agg(F.coalesce(F.sum("shards"), F.lit(1))).first()[0]) * groups
     hits = (
-        parts.groupBy(*keys)
-        .cogroup(asked.select(*keys, "vec_id", "embedding").groupBy(*keys))
+        parts.repartition(tasks, *keys)
+        .groupBy(*keys)
+        .cogroup(
+            asked.select(*keys, "vec_id", "embedding").repartition(tasks, *keys).groupBy(*keys)
+        )
         .applyInPandas(search, "query_id long, vec_id long, score double")
     )
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
