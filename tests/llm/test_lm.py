@@ -58,7 +58,7 @@ def model_and_codes(size=600):
     counts = rng.integers(0, 50, size).astype(float)
     windows = rng.integers(0, size, (50, lm.WINDOW + 1))
     model = lm.Attention(1)
-    model.parts["bias"] = rng.normal(size=lm.CLASSES).astype(np.float32)
+    model.parts["bias"] = rng.normal(size=lm.GROUPS).astype(np.float32)
     return lm.coded(counts, windows), model, rng
 
 
