@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyfold import schemas as S
 from tallyfold.functions.timing import after, cancellation_deadline, seconds_between
 from tallyfold.plans import ROWS_PER_SEGMENT, top_per_group, windowed
+from tallyfold.session import written
 
 TASK = ["queue", "task_id"]
 ORDER = ["ts", "seq"]
@@ -138,10 +139,11 @@ def rejected_writes(
         )
         return counted.where(F.col("generation") >= 1)
 
-    rows = numbered(transitions)
+    # Positions first: payloads and the like are fetched for the rejected rows alone.
+    narrow = transitions.select(*TASK, *ORDER, "op", "attempt", "max_attempts")
+    rows = numbered(narrow).select(*TASK, *ORDER, "generation")
     # The ends need only the rows that start or end a generation.
-    marks = transitions.where(F.col("op").isin(*S.GENERATION_OPS) | _ends())
-    marks = marks.select(*TASK, *ORDER, "op", "attempt", "max_attempts")
+    marks = narrow.where(F.col("op").isin(*S.GENERATION_OPS) | _ends())
     ends = (
         numbered(marks)
         .where(_ends())
@@ -151,12 +153,15 @@ def rejected_writes(
     code = F.when(F.col("ended_by") == "cancel", S.CANCELLED_CODE).when(
         F.col("ended_by") == "fail", S.FAILED_CODE
     )
-    return (
+    late = (
         rows.join(ends, [*TASK, "generation"])
         .where(position > F.col("_end"))
         .drop("_end")
         .withColumn("code", code)
     )
+    # Written, so that its true size decides how the full rows are found.
+    late = written(late, "rejected")
+    return transitions.join(late, [*TASK, *ORDER])
 
 
 def dedupe_requests(requests: DataFrame) -> DataFrame:
