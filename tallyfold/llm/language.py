@@ -15,6 +15,7 @@ from tallyfold.session import written
 ORDER = 4  # characters of the longest grams
 SAMPLE_ROWS = 2000  # labelled documents per language, on average, that a fit reads
 MAX_GRAMS = 400_000  # grams of a language's model
+MAX_LANGS = 200  # languages of a model
 CACHED = 300_000  # words whose scores a worker remembers
 LONG = 40  # longer words are scored but not remembered
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -192,9 +193,11 @@ def _scorer(key: str, shared) -> Scorer:
 def sampled(labelled: DataFrame, rows: int) -> DataFrame:
     """About ``rows`` documents of each language (exactly all where there are fewer).
 
-    Chosen by a hash of the id. ``lang`` values with fewer than two documents are left out.
+    Chosen by a hash of the id. ``lang`` values with fewer than two documents, and those beyond
+    the ``MAX_LANGS`` most frequent, are left out.
     """
-    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
+    counts = {r.lang: r["count"] for r in frequent.collect()}
     share = F.lit(0.0)
     for lang, n in sorted(counts.items()):
         share = F.when(F.col("lang") == lang, min(1.0, rows / n) if n > 1 else 0.0).otherwise(share)

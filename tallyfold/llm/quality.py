@@ -145,7 +145,7 @@ def fitted(
     """
     marks = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-        .filter("doc_id IS NOT NULL AND quality IS NOT NULL")
+        .filter("doc_id IS NOT NULL AND quality IN (0, 1)")
         .filter(id_remainder(F.col("doc_id"), 5) != 0)
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
