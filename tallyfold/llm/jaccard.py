@@ -311,10 +311,11 @@ def link_edges(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, words: in
         unit, rows = None, {}
 
         def links():
-            if len(rows) > 1:
+            # A block may be empty; pairs within the other one are those of its diagonal unit.
+            sides = np.array([s for _, s in rows.values()])
+            if len(rows) > 1 and (unit[1] == unit[2] or 0 < sides.sum() < len(sides)):
                 ids = list(rows)
                 arrays = [np.frombuffer(x, np.uint64) for x, _ in rows.values()]
-                sides = np.array([s for _, s in rows.values()])
                 pairs = linked(arrays, sides, p, q)
                 if pairs:
                     yield {"a": [ids[x] for x, _ in pairs], "b": [ids[y] for _, y in pairs]}

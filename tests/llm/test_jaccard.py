@@ -80,6 +80,20 @@ def test_split_clusters_find_all_links(spark, monkeypatch):
     assert found == plain_components(rows, 3, 90, 100)
 
 
+def test_long_near_copies_leave_blocks_empty(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 600)
+    rng = random.Random(78)
+    rows = []
+    for group in range(6):
+        words = [f"g{group}w{rng.randrange(5000)}" for _ in range(300)]
+        for copy in range(10):
+            rows.append((len(rows), " ".join([*words[copy:], f"end{copy}"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard.join(docs, 3, 90, 100).collect()}
+    assert found == plain_components(rows, 3, 90, 100)
+    assert len(set(found.values())) == 6
+
+
 def test_repeated_rows_and_one_each(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (3, "x y z"), (None, "x y z"), (4, None)]
     docs = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, first_id int")
