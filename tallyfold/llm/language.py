@@ -16,6 +16,8 @@ ORDER = 4  # characters of the longest grams
 SAMPLE_ROWS = 2000  # labelled documents per language, on average, that a fit reads
 MAX_GRAMS = 400_000  # grams of a language's model
 MAX_LANGS = 200  # languages of a model
+FALSE_REJECTIONS = 1e-4  # aimed at share of own texts beyond a limit; heavier tails exceed it
+POOLED = 20  # documents that the limit of all languages counts as beside a language's own
 CACHED = 300_000  # words whose scores a worker remembers
 LONG = 40  # longer words are scored but not remembered
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -63,7 +65,7 @@ class Model:
         for size in range(1, order + 1):
             self.grams.append(self._table([f[0] for f in found], size))
             self.contexts.append(self._table([f[1] for f in found], size - 1))
-        self.usual = np.zeros(len(self.langs))  # mean cross-entropy of calibration documents
+        self.usual = np.zeros(len(self.langs))  # median cross-entropy of calibration documents
         self.limits = np.full(len(self.langs), np.inf)
 
     def _kneser_ney(self, counts, letters):
@@ -213,15 +215,16 @@ def fitted(
     order: int = ORDER,
     rows: int = SAMPLE_ROWS,
     max_grams: int = MAX_GRAMS,
-    margin: float = 1.5,
+    rate: float = FALSE_REJECTIONS,
 ) -> Model:
     """A model of every language that labelled documents name.
 
     Learns from a sample of about ``rows`` documents per language among those with text, a
     label, and crc32 of the id modulo 4 other than 2. Three quarters give the gram counts,
-    which Spark adds up; a quarter calibrates rejection: for documents of a language, the
-    largest excess over their mean cross-entropy, times ``margin``, plus one nat. Beyond
-    ``max_grams`` per language the rarest grams are left out.
+    which Spark adds up; a quarter calibrates rejection: the limit is the excess
+    over the median cross-entropy that a share ``rate`` of a language's documents is beyond, by
+    ``tail_limit``. The limit of all languages together counts in each as ``POOLED`` documents,
+    so it decides where a language has few. Beyond ``max_grams`` per language the rarest grams are left out.
     """
     labelled = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")
@@ -271,15 +274,44 @@ def fitted(
         held = scored(sample.filter("held"), model, "doc_id", "text", "lang")
         held = held.select("label", "lang_pred", "cross_entropy", "chars").toPandas()
         own = held[held["label"] == held["lang_pred"]]
-        for i, name in enumerate(model.langs):
-            rows_ = own[own["lang_pred"] == name]
-            if len(rows_) >= 20:
-                model.usual[i] = rows_["cross_entropy"].mean()
-                found = excess(rows_["cross_entropy"], rows_["chars"], model.usual[i])
-                model.limits[i] = margin * float(found.max()) + 1.0
+        calibrate(model, own["lang_pred"], own["cross_entropy"], own["chars"], rate)
     return model
 
 
+def calibrate(model: Model, langs, cross_entropy, chars, rate: float = FALSE_REJECTIONS) -> None:
+    """Set a model's usual cross-entropies and limits from documents of known language.
+
+    A language without a document here has the median of the others' usual values and the pooled
+    limit. Where no language has two documents that differ, no limit is known and none is set.
+    """
+    langs, cross_entropy, chars = map(np.asarray, (langs, cross_entropy, chars))
+    rows = [np.flatnonzero(langs == name) for name in model.langs]
+    known = [float(np.median(cross_entropy[r])) for r in rows if len(r)]
+    if not known:
+        return
+    model.usual[:] = [np.median(cross_entropy[r]) if len(r) else np.median(known) for r in rows]
+    found = [excess(cross_entropy[r], chars[r], u) for r, u in zip(rows, model.usual)]
+    several = np.concatenate([[], *(f for f in found if len(f) > 1)])
+    if not several.any():
+        return
+    pooled = tail_limit(several, rate)
+    for i, f in enumerate(found):
+        own = tail_limit(f, rate) if len(f) else 0.0
+        model.limits[i] = (len(f) * own + POOLED * pooled) / (len(f) + POOLED)
+
+
+def tail_limit(found: np.ndarray, rate: float) -> float:
+    """The excess that a share ``rate`` of documents is beyond.
+
+    By the exponential tail through the median and the 90th percentile, so that the worst tenth
+    (junk, wrong labels) does not move it.
+    """
+    middle, high = np.quantile(found, [0.5, 0.9])
+    if high <= 0:  # more than nine tenths alike: only the largest tells how texts differ
+        return float(found.max())
+    return float(high + (high - middle) * np.log(0.1 / rate) / np.log(0.5 / 0.1))
+
+
 def excess(cross_entropy, chars, usual):
     """Cross-entropy above the usual; less weight to texts of under 200 characters."""
     return np.maximum(0, cross_entropy - usual) * np.minimum(1, np.sqrt(chars / 200))

@@ -105,6 +105,31 @@ def test_cache_limit_changes_nothing(monkeypatch):
     assert np.allclose(np.vstack([scorer.sums([t]) for t in texts]), whole, rtol=1e-5)
 
 
+def test_junk_does_not_raise_the_limit(spark):
+    rng = random.Random(4)
+    rows = [(i, text(rng, lang), lang) for i in range(600) for lang in [rng.choice(["aa", "bb"])]]
+    junk = [(i, "ba ko " + " ".join("xqz"[rng.randrange(3)] * 9 for _ in range(30)), "aa") for i in range(600, 616)]
+    near = [*(SOUNDS["aa"] * 6), "bu", "ka"]  # an unlearned language near a learned one
+    other = [
+        (i, " ".join("".join(rng.choice(near) for _ in range(3)) for _ in range(60)), None) for i in range(700, 740)
+    ]
+    docs = spark.createDataFrame(rows + junk + other, "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in language.identify(docs).collect()}
+    assert all(found[i].rejected for i in range(700, 740))
+    assert sum(found[i].rejected for i in range(600)) <= 1
+
+
+def test_few_documents_take_the_pooled_limit():
+    rng = random.Random(5)
+    model = language.Model({k: language.gram_counts([text(rng, k, 300)], 4) for k in SOUNDS})
+    names, own = ["aa"] * 200 + ["bb"] * 2, np.append(1 + 0.05 * np.random.default_rng(5).random(200), [2, 2.01])
+    language.calibrate(model, names, own, np.full(202, 400))
+    assert np.isfinite(model.limits).all() and 0 < model.limits.min() and model.limits.max() < 0.5
+    usual = model.usual[0]
+    language.calibrate(model, names + ["aa"], np.append(own, 9.0), np.full(203, 400))
+    assert abs(model.usual[0] - usual) < 0.01 and model.limits.max() < 0.5
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "ba ko", None)], "doc_id long, text string, lang string")
     row = language.identify(docs).first()
