@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, hnsw, jaccard, language, lm, packing, quality, rules, sharding, urls
-from tallyfold.llm.common import table
+from tallyfold.llm import (
+    bpe, hnsw, jaccard, language, lm, merkle, packing, quality, rules, sharding, urls, whitening,
+)
+from tallyfold.llm.common import lower_ascii, table
 
 
 def vocabulary_path() -> str:
@@ -100,6 +102,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def verified_leaves(docs: DataFrame) -> DataFrame:
+    """Every document's proof, with the texts of a fifth of them lower-cased after the build."""
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    now = F.when(hit, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    checked = merkle.verify(docs, "doc_id", "source", fields, {"text": now})
+    return checked.withColumnRenamed("id", "doc_id")
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and folded root of every document."""
+    return verified_leaves(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened components of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
 QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
     "op2_jaccard_join": (op2_jaccard_join, None),
@@ -111,4 +132,6 @@ QUERIES = {
     "op8_bpe": (op8_bpe, None),
     "op9_hnsw": (op9_hnsw, None),
     "op10_quality": (op10_quality, None),
+    "op11_merkle_manifest": (op11_merkle_manifest, None),
+    "op12_embedding_whitening": (op12_embedding_whitening, None),
 }
