@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import (
-    bpe, hnsw, jaccard, language, lm, merkle, packing, quality, rules, sharding, urls, whitening,
+    bpe, hnsw, jaccard, language, lm, merkle, packing, quality, repeats, rules, sharding, urls,
+    whitening,
 )
 from tallyfold.llm.common import lower_ascii, table
 
@@ -121,6 +122,14 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its strings of 400 bytes that occur again."""
+    stripped = repeats.strip(table(spark, sf_dir, "documents"), length=400)
+    return stripped.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 QUERIES = {
     "op1_url_filter": (op1_url_filter, None),
     "op2_jaccard_join": (op2_jaccard_join, None),
@@ -134,4 +143,5 @@ QUERIES = {
     "op10_quality": (op10_quality, None),
     "op11_merkle_manifest": (op11_merkle_manifest, None),
     "op12_embedding_whitening": (op12_embedding_whitening, None),
+    "op13_suffix_dedup": (op13_suffix_dedup, None),
 }
