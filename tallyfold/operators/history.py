@@ -1,4 +1,4 @@
-"""Folding the append-only history into state, attempts and step names."""
+"""Questions to the append-only history: rejected writes, first events, attempts, replay."""
 
 from __future__ import annotations
 
@@ -6,162 +6,59 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold import schemas as S
-from tallyfold.functions.timing import after, cancellation_deadline, seconds_between
+from tallyfold.functions.timing import cancellation_deadline, seconds_between
+from tallyfold.operators.fold import (  # noqa: F401
+    ORDER, TASK, before_each, ends_task, expire_leases, fold_state, is_legal, is_phase,
+)
 from tallyfold.plans import ROWS_PER_SEGMENT, top_per_group, windowed
 from tallyfold.session import written
 
-TASK = ["queue", "task_id"]
-ORDER = ["ts", "seq"]
-
-
 def is_terminal(state: Column) -> Column:
     return state.isin(*S.TERMINAL_STATES)
 
 
-def ends_task(op: Column, attempt: Column, max_attempts: Column) -> Column:
-    """A failure ends the task only at its last attempt."""
-    limit = F.coalesce(max_attempts, F.lit(S.DEFAULT_MAX_ATTEMPTS))
-    return op.isin("complete", "cancel") | ((op == "fail") & (attempt >= limit))
-
-
-def _ends() -> Column:
-    return ends_task(F.col("op"), F.col("attempt"), F.col("max_attempts"))
-
-
 def until(df: DataFrame, as_of: Column | None, column: str = "ts") -> DataFrame:
     return df if as_of is None else df.where(F.col(column) <= as_of)
 
 
-def fold_state(
-    transitions: DataFrame, as_of: Column | None = None, now: Column | None = None
-) -> DataFrame:
-    """One row per task: the first terminal row of its last generation, else the last row.
-
-    A spawn or retry starts a generation; rows before the first are ignored. Heartbeats and
-    checkpoints extend a lease and change nothing else, so neither wakes a sleeping task nor
-    drops the lease of a running one: the latest lease that was given counts. With ``now`` a
-    running attempt whose lease has run out counts as failed at the end of the lease. The
-    history holds what the write operators accepted. Both steps are plain aggregates; the join
-    between them carries payloads of ending rows alone.
-    """
-    position = F.struct(*ORDER)
-    rows = until(transitions, as_of).select(
-        *TASK, *ORDER, "op", "run_id", "task_name", "attempt", "max_attempts", "wake_at",
-        "lease_s", "event_name", F.when(_ends(), F.col("payload")).alias("payload"),
-    )
-    extends = F.col("op").isin(*S.LEASE_OPS)
-    starts = (
-        rows.where(F.col("op").isin(*S.GENERATION_OPS))
-        .groupBy(*TASK)
-        .agg(F.max(position).alias("_start"), F.count(F.lit(1)).alias("generation"))
-    )
-    facts = F.struct(
-        "op", "ts", "run_id", "task_name", "attempt", "max_attempts", "payload",
-        "wake_at", "event_name",
-    )
-    phase, leased = F.when(~extends, position), F.when(F.col("lease_s").isNotNull(), position)
-    lease_end = after(F.col("ts"), F.col("lease_s"))
-    folded = (
-        rows.join(starts, TASK)
-        .where(position >= F.col("_start"))
-        .groupBy(*TASK, "generation")
-        .agg(
-            F.min_by(F.when(_ends(), facts), F.when(_ends(), position)).alias("_end"),
-            F.max_by(facts, phase).alias("_last"),
-            F.max_by(lease_end, leased).alias("_lease_until"),
-            F.max(F.when(extends, F.col("ts"))).alias("_extended_at"),
-            F.min(F.when(F.col("op") == "claim", F.col("ts"))).alias("started_at"),
-        )
-    )
-    folded = folded.withColumn("_row", F.coalesce("_end", "_last"))
-    op, ended = F.col("_row.op"), F.col("_end").isNotNull()
-    retries = (op == "fail") & ~ended
-    waits = F.col("_row.wake_at") > F.col("_row.ts")
-    state = (
-        F.when(op == "complete", "completed")
-        .when(op == "cancel", "cancelled")
-        .when((op == "fail") & ended, "failed")
-        .when(retries & waits, "sleeping")
-        .when(op == "claim", "running")
-        .when(op.isin("schedule", "await_event"), "sleeping")
-        .otherwise("pending")
-    )
-    attempt, limit = F.col("_row.attempt"), F.col("_row.max_attempts")
-    shown = folded.select(
-        *TASK,
-        F.col("_row.run_id").alias("run_id"),
-        F.col("_row.task_name").alias("task_name"),
-        "generation",
-        F.when(retries, attempt + 1).otherwise(attempt).alias("attempt"),
-        F.coalesce(limit, F.lit(S.DEFAULT_MAX_ATTEMPTS)).alias("max_attempts"),
-        state.alias("state"),
-        F.when(op == "complete", F.col("_row.payload")).alias("result"),
-        F.when((op == "fail") & ended, F.col("_row.payload")).alias("failure"),
-        "started_at",
-        F.when(ended, F.col("_row.ts")).alias("ended_at"),
-        F.when(state == "sleeping", F.col("_row.wake_at")).alias("wake_at"),
-        F.when(state == "sleeping", F.col("_row.event_name")).alias("event_name"),
-        F.when(state == "running", F.col("_lease_until")).alias("lease_until"),
-        F.when(state == "running", F.greatest(F.col("_row.ts"), F.col("_extended_at")))
-        .otherwise(F.col("_row.ts"))
-        .alias("updated_at"),
-    )
-    return shown if now is None else expire_leases(shown, now)
-
-
-def expire_leases(snapshot: DataFrame, now: Column) -> DataFrame:
-    """Count a lease that ran out by ``now`` as a failure of that attempt."""
-    expired = (F.col("state") == "running") & (F.col("lease_until") <= now)
-    last = F.col("attempt") >= F.col("max_attempts")
-    return snapshot.withColumns(
-        {
-            "state": F.when(expired & last, "failed")
-            .when(expired, "pending")
-            .otherwise(F.col("state")),
-            "attempt": F.when(expired & ~last, F.col("attempt") + 1).otherwise(F.col("attempt")),
-            "ended_at": F.when(expired & last, F.col("lease_until")).otherwise(F.col("ended_at")),
-            "updated_at": F.when(expired, F.col("lease_until")).otherwise(F.col("updated_at")),
-            "lease_until": F.when(~expired, F.col("lease_until")),
-        }
-    )
-
-
 def rejected_writes(
     transitions: DataFrame, rows_per_segment: int = ROWS_PER_SEGMENT
 ) -> DataFrame:
-    """Rows that follow the first terminal row of their generation, with the error code."""
-    position = F.struct(*ORDER)
-    starts = F.col("op").isin(*S.GENERATION_OPS).cast("bigint")
-
-    def numbered(rows: DataFrame) -> DataFrame:
-        counted = windowed(
-            rows, TASK, ORDER, sums={"generation": starts}, rows_per_segment=rows_per_segment
-        )
-        return counted.where(F.col("generation") >= 1)
+    """Rows that the fold ignores, by the rule it has in common with the write operators.
 
+    Those after the end of their generation have what ended it as ``ended_by`` and ``reason``,
+    and the error code; releases of a task that was not running have ``not_running``.
+    """
+    position = F.struct(*ORDER)
+    op = F.col("op")
+    starts = op.isin(*S.GENERATION_OPS).cast("bigint")
     # Positions first: payloads and the like are fetched for the rejected rows alone.
     narrow = transitions.select(*TASK, *ORDER, "op", "attempt", "max_attempts")
-    rows = numbered(narrow).select(*TASK, *ORDER, "generation")
-    # The ends need only the rows that start or end a generation.
-    marks = narrow.where(F.col("op").isin(*S.GENERATION_OPS) | _ends())
+    rows = before_each(narrow, rows_per_segment, sums={"generation": starts})
+    rows = rows.where(F.col("generation") >= 1).withColumn(
+        "_legal", is_legal(op, F.col("_before")) | ~is_phase(op)
+    )
+    ending = F.col("_legal") & ends_task(op, F.col("attempt"), F.col("max_attempts"))
     ends = (
-        numbered(marks)
-        .where(_ends())
+        rows.where(ending)
         .groupBy(*TASK, "generation")
         .agg(F.min(position).alias("_end"), F.min_by("op", position).alias("ended_by"))
     )
     code = F.when(F.col("ended_by") == "cancel", S.CANCELLED_CODE).when(
         F.col("ended_by") == "fail", S.FAILED_CODE
     )
-    late = (
-        rows.join(ends, [*TASK, "generation"])
-        .where(position > F.col("_end"))
-        .drop("_end")
-        .withColumn("code", code)
+    late = F.coalesce(position > F.col("_end"), F.lit(False))
+    joined = rows.join(ends, [*TASK, "generation"], "left").where(late | ~F.col("_legal"))
+    found = joined.select(
+        *TASK,
+        *ORDER,
+        "generation",
+        F.when(late, F.col("ended_by")).alias("ended_by"),
+        F.when(late, F.col("ended_by")).otherwise("not_running").alias("reason"),
+        F.when(late, code).alias("code"),
     )
     # Written, so that its true size decides how the full rows are found.
-    late = written(late, "rejected")
-    return transitions.join(late, [*TASK, *ORDER])
+    return transitions.join(written(found, "rejected"), [*TASK, *ORDER])
 
 
 def dedupe_requests(requests: DataFrame) -> DataFrame:

@@ -94,22 +94,25 @@ def windowed(
     sums: dict[str, Column] | None = None,
     lags: dict[str, Column] | None = None,
     leads: dict[str, Column] | None = None,
+    lasts: dict[str, Column] | None = None,
     rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
     """Add running sums (current row included) and previous / next values per group.
 
+    ``lasts`` are the last values before the row that are not null.
+
     ``order`` must identify a row within its group; ascending. An empty ``keys`` treats
     the whole table as one group.
     """
-    sums, lags, leads = sums or {}, lags or {}, leads or {}
+    sums, lags, leads, lasts = sums or {}, lags or {}, leads or {}, lasts or {}
     bounds = written(segment_bounds(df, keys, order, rows_per_segment), "segment-bounds")
     if bounds.isEmpty():
-        return _local(df, Window.partitionBy(*keys).orderBy(*order), sums, lags, leads)
+        return _local(df, Window.partitionBy(*keys).orderBy(*order), sums, lags, leads, lasts)
 
     cut = _assign_segments(df, bounds, keys, order)
     groups = [*keys, "_segment"]
     within = Window.partitionBy(*groups).orderBy(*order)
-    rows = _local(cut, within, sums, lags, leads)
+    rows = _local(cut, within, sums, lags, leads, lasts)
     rows = rows.withColumn("_first", F.row_number().over(within) == 1)
     rows = rows.withColumn("_last", F.lead(F.lit(1)).over(within).isNull())
 
@@ -119,6 +122,7 @@ def windowed(
         *[F.sum(e).alias(f"_sum_{n}") for n, e in sums.items()],
         *[F.max_by(e, at).alias(f"_end_{n}") for n, e in lags.items()],
         *[F.min_by(e, at).alias(f"_start_{n}") for n, e in leads.items()],
+        *[F.max_by(e, F.when(e.isNotNull(), at)).alias(f"_last_{n}") for n, e in lasts.items()],
     )
     # Only groups with cuts need a carry, so the carry has about one row per segment.
     long_groups = bounds.select(*keys).distinct()
@@ -130,6 +134,7 @@ def windowed(
         *[F.sum(f"_sum_{n}").over(before).alias(f"_sum_{n}") for n in sums],
         *[F.lag(f"_end_{n}").over(chain).alias(f"_end_{n}") for n in lags],
         *[F.lead(f"_start_{n}").over(chain).alias(f"_start_{n}") for n in leads],
+        *[F.last(f"_last_{n}", True).over(before).alias(f"_last_{n}") for n in lasts],
     )
     carry = written(carry, "segment-carry")
     joined = rows.join(carry, _same(rows, carry, groups), "left")
@@ -138,14 +143,17 @@ def windowed(
         *[(rows[n] + F.coalesce(carry[f"_sum_{n}"], F.lit(0))).alias(n) for n in sums],
         *[F.when(rows["_first"], carry[f"_end_{n}"]).otherwise(rows[n]).alias(n) for n in lags],
         *[F.when(rows["_last"], carry[f"_start_{n}"]).otherwise(rows[n]).alias(n) for n in leads],
+        *[F.coalesce(rows[n], carry[f"_last_{n}"]).alias(n) for n in lasts],
     )
 
 
-def _local(df, window, sums, lags, leads) -> DataFrame:
+def _local(df, window, sums, lags, leads, lasts) -> DataFrame:
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
     return df.select(
         "*",
         *[F.sum(e).over(running).alias(n) for n, e in sums.items()],
         *[F.lag(e).over(window).alias(n) for n, e in lags.items()],
         *[F.lead(e).over(window).alias(n) for n, e in leads.items()],
+        *[F.last(e, True).over(earlier).alias(n) for n, e in lasts.items()],
     )

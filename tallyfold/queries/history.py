@@ -10,12 +10,16 @@ from tallyfold.queries.views import NOW, sql, view
 ENDS = "(op IN ('complete', 'cancel') OR (op = 'fail' AND attempt >= coalesce(max_attempts, 5)))"
 GENERATIONS = """, generations AS (
     SELECT *, CAST(sum(CASE WHEN op IN ('spawn', 'retry') THEN 1 ELSE 0 END)
-                   OVER (PARTITION BY queue, task_id ORDER BY ts, seq) AS BIGINT) AS generation
+                   OVER (PARTITION BY queue, task_id ORDER BY ts, seq) AS BIGINT) AS generation,
+           op NOT IN ('complete', 'fail', 'schedule', 'await_event') OR coalesce(
+             last_value(CASE WHEN op NOT IN ('heartbeat', 'checkpoint') THEN op END IGNORE NULLS)
+               OVER (PARTITION BY queue, task_id ORDER BY ts, seq
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) = 'claim', false) AS legal
     FROM transitions $where)"""
 FOLD = (
     GENERATIONS
     + f""", newest AS (
-    SELECT *, {ENDS} AS ends FROM generations WHERE generation >= 1
+    SELECT *, {ENDS} AS ends FROM generations WHERE generation >= 1 AND legal
     QUALIFY generation = max(generation) OVER (PARTITION BY queue, task_id)),
   chosen AS (
     SELECT * REPLACE (coalesce(max_attempts, 5) AS max_attempts),
@@ -132,7 +136,7 @@ def terminal_tasks(spark, sf):
 
 def rejected_writes(spark, sf):
     rows = history.rejected_writes(view(spark, sf, "transitions"))
-    return rows.select("queue", "task_id", "seq", "op", "generation", "ended_by", "code")
+    return rows.select("queue", "task_id", "seq", "op", "generation", "ended_by", "reason", "code")
 
 
 def occurrence_names(spark, sf):
@@ -309,14 +313,17 @@ QUERIES = {
             "transitions",
             body=GENERATIONS
             + f""", ended AS (
-                SELECT *, arg_min(op, (ts, seq)) FILTER ({ENDS}) OVER g AS ended_by,
-                       sum(CASE WHEN {ENDS} THEN 1 ELSE 0 END) OVER (g ORDER BY ts, seq
+                SELECT *, arg_min(op, (ts, seq)) FILTER (legal AND {ENDS}) OVER g AS ended_by,
+                       sum(CASE WHEN legal AND {ENDS} THEN 1 ELSE 0 END) OVER (g ORDER BY ts, seq
                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
                 FROM generations WHERE generation >= 1
                 WINDOW g AS (PARTITION BY queue, task_id, generation))
-              SELECT queue, task_id, seq, op, generation, ended_by,
-                     CASE ended_by WHEN 'cancel' THEN 'AB001' WHEN 'fail' THEN 'AB002' END AS code
-              FROM ended WHERE before >= 1""",
+              SELECT queue, task_id, seq, op, generation,
+                     CASE WHEN before >= 1 THEN ended_by END AS ended_by,
+                     CASE WHEN before >= 1 THEN ended_by ELSE 'not_running' END AS reason,
+                     CASE WHEN before >= 1 THEN CASE ended_by WHEN 'cancel' THEN 'AB001'
+                          WHEN 'fail' THEN 'AB002' END END AS code
+              FROM ended WHERE before >= 1 OR NOT legal""",
             where="",
         ),
     ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.operators.history import ends_task
+from tallyfold.operators.fold import ends_task
 from tallyfold.queries.history import ENDS, FOLD
 from tallyfold.queries.views import read, sql, view
 from tallyfold.session import new_path
@@ -14,15 +14,19 @@ from tallyfold.streaming import events, timers, waits
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LATE_MINUTES = 10
 SLICES = 4
+#: The rows that arrive late in streams whose result must not depend on the order of arrival.
+SOME = "event_id % 5 = 0"
 
 
-def _slices(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """The events written in order of time as slices, and the files of a slice.
+def _slices(spark: SparkSession, sf_dir: str, late: str) -> tuple[str, int]:
+    """The events written in order of arrival as slices, and the files of a slice.
 
-    So every stream runs several batches, and its state has to cross them.
+    So every stream runs several batches, and its state has to cross them. Rows that fulfil
+    ``late`` arrive almost as late as the streams allow.
     """
     events_ = read(spark, sf_dir, "events")
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    delay = F.when(F.expr(late), (LATE_MINUTES - 1) * 60_000_000).otherwise(0)
+    at = F.unix_micros(F.col("ts").cast("timestamp")) + delay
     cuts = events_.agg(F.percentile_approx(at, [i / SLICES for i in range(1, SLICES)])).first()[0]
     folder = new_path(spark, "event-slices")
     number = F.lit(0)
@@ -34,14 +38,21 @@ def _slices(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     return folder, -(-files // SLICES)
 
 
-def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view over the events as a stream of several batches, with timestamps that can carry a watermark."""
+def streams(spark: SparkSession, sf_dir: str, *names: str, late: str = "false") -> list[DataFrame]:
+    """Views over the events as streams of several batches, with timestamps that can carry a watermark."""
     schema = read(spark, sf_dir, "events").schema
-    folder, files = _slices(spark, sf_dir)
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
-    rows = view(spark, sf_dir, name, events=source)
-    times = [f.name for f in rows.schema if f.dataType.typeName() == "timestamp_ntz"]
-    return rows.withColumns({c: F.col(c).cast("timestamp") for c in times})
+    folder, files = _slices(spark, sf_dir, late)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    found = []
+    for name in names:
+        rows = view(spark, sf_dir, name, events=source.parquet(folder))
+        times = [f.name for f in rows.schema if f.dataType.typeName() == "timestamp_ntz"]
+        found.append(rows.withColumns({c: F.col(c).cast("timestamp") for c in times}))
+    return found
+
+
+def stream(spark: SparkSession, sf_dir: str, name: str, late: str = "false") -> DataFrame:
+    return streams(spark, sf_dir, name, late=late)[0]
 
 
 def finish(stream_df: DataFrame, label: str, each_batch=None) -> DataFrame:
@@ -104,28 +115,22 @@ def joined_waits(spark, sf):
 
 
 def resolved_waits(spark, sf):
-    store = new_path(spark, "settled-waits")
-    both = waits.wait_input(stream(spark, sf, "waits"), stream(spark, sf, "signals"))
-    finish(both, "settled-run", waits.wait_batches(store, LATE_MINUTES * 60))
-    rows = waits.settled_waits(spark, store)
-    return plain_times(rows.drop("timeout_s"))
-
-
-def _alerts(spark, rows, deadlines, label):
-    store = new_path(spark, label)
-    finish(rows, f"{label}-run", timers.deadline_batches(store, deadlines, LATE_MINUTES * 60))
-    return plain_times(timers.raised_alerts(spark, store))
+    """Half of the waits arrive late; events in order, since the first to arrive counts."""
+    late = "event_type = 'signup' AND event_id % 2 = 0"
+    found = waits.settled_waits(*streams(spark, sf, "waits", "signals", late=late))
+    return finish(found, "settled-waits").drop("timeout_s")
 
 
 def lease_alerts(spark, sf):
-    return _alerts(spark, stream(spark, sf, "beats"), timers.lease_deadlines(), "lease-alerts")
+    rows = stream(spark, sf, "beats", late=SOME)
+    return finish(timers.deadline_alerts(rows, timers.lease_deadlines()), "lease-alerts")
 
 
 def woken_runs(spark, sf):
-    rows = stream(spark, sf, "transitions")
+    rows = stream(spark, sf, "transitions", late=SOME)
     ends = ends_task(F.col("op"), F.col("attempt"), F.col("max_attempts"))
     rows = rows.withColumn("ended", ends)
-    return _alerts(spark, rows, timers.wake_deadlines(), "woken-runs")
+    return finish(timers.deadline_alerts(rows, timers.wake_deadlines()), "woken-runs")
 
 
 def terminal_results(spark, sf):
@@ -146,10 +151,10 @@ def snapshots(spark, sf):
     last = []
 
     def keep(batch, batch_id):
-        events.snapshot_batches(store)(batch, batch_id)
+        events.snapshot_batches(store, LATE_MINUTES * 60)(batch, batch_id)
         last.append(batch_id)
 
-    finish(stream(spark, sf, "transitions"), "snapshot-run", keep)
+    finish(stream(spark, sf, "transitions", late=SOME), "snapshot-run", keep)
     return plain_times(events.latest_snapshot(spark, store, last[-1]))
 
 

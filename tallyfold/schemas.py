@@ -31,6 +31,12 @@ def copy_of(schema: T.StructType) -> T.StructType:
 RETRY_STRATEGY = struct(
     "kind string, base_seconds double, factor double, max_seconds double"
 )
+SPEC_TYPES = {
+    "headers": "map<string,string>",
+    "retry_strategy": "struct<kind:string,base_seconds:double,factor:double,max_seconds:double>",
+    "max_delay_s": "bigint",
+    "max_duration_s": "bigint",
+}
 FAILURE = struct("name string, message string, stacktrace string")
 
 REQUESTS = struct(
@@ -81,6 +87,8 @@ STATES = ("pending", "running", "sleeping", "completed", "failed", "cancelled")
 TERMINAL_STATES = ("completed", "failed", "cancelled")
 LEASE_OPS = ("heartbeat", "checkpoint")
 GENERATION_OPS = ("spawn", "retry")
+RELEASE_OPS = ("complete", "fail", "schedule", "await_event")
+WAKE_OP = "wake"
 ATTEMPT_END_OPS = ("complete", "fail", "cancel")
 
 # Codes for writes that come after the task has ended.

@@ -6,10 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold import schemas as S
-from tallyfold.operators.history import ORDER, TASK, ends_task, fold_state, is_terminal
+from tallyfold.operators.fold import TASK, accumulate, merge, show
+from tallyfold.operators.history import is_terminal
 from tallyfold.operators.writes import submit
 from tallyfold.session import read_or_empty
-from tallyfold.streaming.state import batch_before, batches_before, cached_batch, write_batch
+from tallyfold.streaming.state import (
+    batch_before,
+    batches_before,
+    cached_batch,
+    clock_span,
+    write_batch,
+)
 
 EVENT_KEY = ["queue", "event_name"]
 
@@ -88,70 +95,71 @@ def submit_batches(store: str):
     return run
 
 
-def compact_history(transitions: DataFrame) -> DataFrame:
-    """At most four rows per task that fold to the same state as its whole history.
+def _covering(batch_id: int) -> list[tuple[int, int]]:
+    """The folders that together hold batches 0 to ``batch_id``: (first, last) ranges, in order.
 
-    Kept are the start of the last generation, its first claim, its first terminal row and
-    its last row. ``generation`` counts the starts so far.
+    The ranges are those of a binary counter: few, and each batch is merged again only as often
+    as the counter carries.
     """
-    position = F.struct(*ORDER)
-    names = [f.name for f in S.TRANSITIONS]
-    row = F.struct(*names)
-    starts = F.col("op").isin(*S.GENERATION_OPS)
-    ends = ends_task(F.col("op"), F.col("attempt"), F.col("max_attempts"))
-    # A compacted start row stands for all the generations before it.
-    count = F.coalesce("generation", F.lit(1).cast("long"))
-    begun = (
-        transitions.where(starts)
-        .groupBy(*TASK)
-        .agg(F.max(position).alias("_start"), F.sum(count).alias("_generation"))
-    )
-    current = transitions.join(begun, TASK).where(position >= F.col("_start"))
-    first_claim = F.when(F.col("op") == "claim", position)
-    kept = current.groupBy(*TASK, "_generation").agg(
-        F.array_distinct(
-            F.filter(
-                F.array(
-                    F.min_by(row, position),
-                    F.min_by(F.when(F.col("op") == "claim", row), first_claim),
-                    F.min_by(F.when(ends, row), F.when(ends, position)),
-                    F.max_by(row, position),
-                ),
-                lambda r: r.isNotNull(),
-            )
-        ).alias("_rows")
-    )
-    rows = kept.select("_generation", F.explode("_rows").alias("_row"))
-    generation = F.when(
-        F.col("_row.op").isin(*S.GENERATION_OPS), F.col("_generation")
-    ).otherwise(F.lit(None))
-    return rows.select("_row.*", generation.cast("long").alias("generation"))
+    ranges, end = [], batch_id + 1
+    while end > 0:
+        size = end & -end
+        ranges.append((end - size, end - 1))
+        end -= size
+    return ranges[::-1]
+
+
+def _folder(store: str, first: int, last: int) -> str:
+    return f"{store}/folded/last={last}/first={first}"
+
 
+def _folded(spark: SparkSession, store: str, ranges, details: bool) -> DataFrame:
+    schema = accumulate(spark.createDataFrame([], S.TRANSITIONS), details).schema
+    empty = [spark.createDataFrame([], schema)]
+    return merge(*empty, *[spark.read.schema(schema).parquet(_folder(store, *r)) for r in ranges])
 
-def snapshot_batches(store: str):
-    """A ``foreachBatch`` function that keeps a compacted history in ``store``.
 
-    Each batch writes a new version from the last one and its own rows, which must not be
-    older than what their task already has. Read it with ``latest_snapshot``.
+def snapshot_batches(store: str, late_s: int = 600, details: bool = False):
+    """A ``foreachBatch`` function that folds a history stream into ``store``.
+
+    Rows wait until the clock, the newest time seen less ``late_s``, has passed them; the rows
+    that it passed since the batch before are accumulated and merged with the folders that the
+    batch number completes, so a batch costs the same early and late in a stream's life and
+    rows of a task may come in any order within ``late_s``. Rows older than the clock was go
+    to ``late`` and have no effect; ``late_rows`` reads them. Read the state with
+    ``latest_snapshot``.
     """
-    schema = S.copy_of(S.TRANSITIONS).add("generation", "long")
+    schema = S.TRANSITIONS
 
     @cached_batch
     def run(batch: DataFrame, batch_id: int) -> None:
-        before = batch_before(batch.sparkSession, store, batch_id, schema)
-        new = batch.withColumn("generation", F.lit(None).cast("long"))
-        merged = compact_history(before.unionByName(new.select(*schema.names)))
-        write_batch(merged, store, batch_id)
+        spark = batch.sparkSession
+        before, now = clock_span(batch, "ts", f"{store}/clock", batch_id, late_s)
+        waiting = batch_before(spark, f"{store}/recent", batch_id, schema)
+        new = batch.select(*schema.names)
+        write_batch(new.where(F.col("ts") <= before), f"{store}/late", batch_id)
+        rows = waiting.unionByName(new.where(F.col("ts") > before))
+        write_batch(rows.where(F.col("ts") > now), f"{store}/recent", batch_id)
+        own = accumulate(rows.where(F.col("ts") <= now), details)
+        first, last = _covering(batch_id)[-1]
+        # The part before this batch that the new folder replaces.
+        parts = [r for r in _covering(batch_id - 1) if r[0] >= first]
+        if parts:
+            own = merge(_folded(spark, store, parts, details), own)
+        own.write.mode("overwrite").parquet(_folder(store, first, last))
 
     return run
 
 
-def latest_snapshot(spark: SparkSession, store: str, batch_id: int) -> DataFrame:
-    """The folded state after one batch."""
-    schema = S.copy_of(S.TRANSITIONS).add("generation", "long")
-    rows = read_or_empty(spark, f"{store}/batch={batch_id}", schema)
-    counts = rows.where("generation IS NOT NULL").select(
-        *TASK, F.col("generation").alias("_count")
-    )
-    folded = fold_state(rows.drop("generation")).join(counts, TASK)
-    return folded.withColumn("generation", F.col("_count")).drop("_count")
+def latest_snapshot(
+    spark: SparkSession, store: str, batch_id: int, details: bool = False
+) -> DataFrame:
+    """The folded state after one batch, rows that still wait for the clock included."""
+    recent = read_or_empty(spark, f"{store}/recent/batch={batch_id}", S.TRANSITIONS)
+    settled = _folded(spark, store, _covering(batch_id), details)
+    return show(merge(settled, accumulate(recent, details)), details)
+
+
+def late_rows(spark: SparkSession, store: str) -> DataFrame:
+    """Rows that came more than the allowed lateness after newer ones, and so have no effect."""
+    return read_or_empty(spark, f"{store}/late", S.copy_of(S.TRANSITIONS).add("batch", "long"))

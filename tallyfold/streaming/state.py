@@ -57,11 +57,15 @@ def write_batch(df: DataFrame, path: str, batch_id: int, *parts: str) -> None:
     df.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/batch={batch_id}")
 
 
-def advance_clock(batch: DataFrame, column: str, path: str, batch_id: int, late_s: int) -> Column:
-    """The newest time seen so far less the allowed lateness, kept with the batch."""
+def clock_span(
+    batch: DataFrame, column: str, path: str, batch_id: int, late_s: int
+) -> tuple[Column, Column]:
+    """The clock before and after the batch: the newest time seen less the allowed lateness."""
     spark = batch.sparkSession
     earlier = batch_before(spark, path, batch_id, CLOCK)
-    seen = batch.select(F.col(column).alias("seen")).unionByName(earlier)
-    newest = seen.agg(F.max("seen").alias("seen")).first()[0] or datetime(1970, 1, 1)
+    before = earlier.agg(F.max("seen")).first()[0] or datetime(1970, 1, 1)
+    newest = batch.agg(F.max(column)).first()[0] or before
+    newest = max(before, newest)
     write_batch(spark.createDataFrame([(newest,)], CLOCK).coalesce(1), path, batch_id)
-    return F.lit(newest - timedelta(seconds=late_s))
+    late = timedelta(seconds=late_s)
+    return F.lit(before - late), F.lit(newest - late)

@@ -2,27 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold import schemas as S
 from tallyfold.functions.timing import after
-from tallyfold.operators.history import first_events
-from tallyfold.operators.waits import decide
-from tallyfold.session import read_or_empty
-from tallyfold.streaming.state import (
-    advance_clock,
-    batch_before,
-    batches_before,
-    cached_batch,
-    write_batch,
-)
 
-FIRST = S.struct("queue string, event_name string, payload string, emitted_at timestamp")
 OPEN = S.struct(
     "wait_id string, queue string, event_name string, wait_ts timestamp, timeout_s long"
 )
-SETTLED = S.struct("payload string, resolved_at timestamp")
+ARRIVED = S.struct(
+    "queue string, event_name string, payload string, emitted_at timestamp, seq long, "
+    "moment timestamp"
+)
 
 
 def joined_waits(
@@ -73,7 +66,7 @@ def joined_waits(
 
 
 def wait_input(waits: DataFrame, events: DataFrame) -> DataFrame:
-    """Both streams as one, the input of ``wait_batches``."""
+    """Both streams as one; ``moment`` is the time of either."""
     w = waits.select(*OPEN.names, F.col("wait_ts").alias("moment"))
     e = events.select(
         "queue", "event_name", "payload", "emitted_at", "seq", F.col("emitted_at").alias("moment")
@@ -81,44 +74,74 @@ def wait_input(waits: DataFrame, events: DataFrame) -> DataFrame:
     return w.unionByName(e, allowMissingColumns=True)
 
 
-def wait_batches(store: str, late_s: int = 600, event_ttl_s: int | None = None):
-    """A ``foreachBatch`` function that settles each wait once.
-
-    The first event of a name to be stored stays the first. Open waits move from batch to
-    batch until an event resolves them or the clock, the newest time seen less
-    ``late_s``, reaches their deadline. With ``event_ttl_s`` a name is forgotten that
-    long after its event. One event name may hold any share of the waits: the join is an
-    ordinary one that adaptive execution splits.
+def _earliest(frames):
+    """One pass over a partition: the earliest event of each name, and a row with the newest time."""
+    kept, ticks = None, None
+    for frame in frames:
+        if frame.empty:
+            continue
+        ticks = pd.concat([ticks, frame]) if ticks is not None else frame
+        ticks = ticks.nlargest(1, "moment")
+        found = frame[frame["emitted_at"].notna()]
+        found = found if kept is None else pd.concat([kept, found])
+        kept = found.sort_values(["emitted_at", "seq"]).drop_duplicates(["queue", "event_name"])
+    if kept is not None:
+        yield kept
+        # The newest row without its event, so the watermark moves as if all rows were there.
+        yield ticks.assign(queue=None, event_name=None, payload=None, emitted_at=pd.NaT)
+
+
+def settled_waits(
+    waits: DataFrame, events: DataFrame, late: str = "10 minutes", salts: int = 8
+) -> DataFrame:
+    """Each wait once, resolved or timed out; a stream in append mode.
+
+    The first event of a name to arrive is the event of that name, for good, and of those that
+    arrive together the earliest: the names are the state that grows, one row each. A wait is settled when that event is there, also from before
+    the wait, or else when the watermark reaches its deadline; the clock is the newest time of
+    both streams less ``late``, within which rows may come in any order. Waits without a
+    timeout stay open until their event comes. Spark keeps and checkpoints the state: a batch
+    costs what it brings and what it settles. Waits of one name are spread over ``salts``.
     """
-
-    def remembered(spark: SparkSession, before: int, now: Column) -> DataFrame:
-        known = batches_before(spark, f"{store}/events", FIRST, before)
-        if event_ttl_s is None:
-            return known
-        return known.where(after(F.col("emitted_at"), F.lit(event_ttl_s)) > now)
-
-    @cached_batch
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        now = advance_clock(batch, "moment", f"{store}/clock", batch_id, late_s)
-        names = remembered(spark, batch_id, now).select("queue", "event_name")
-        arrived = first_events(batch.where(F.col("emitted_at").isNotNull())).select(*FIRST.names)
-        new = arrived.join(names, names.columns, "left_anti")
-        write_batch(new, f"{store}/events", batch_id)
-        open_before = batch_before(spark, f"{store}/waits", batch_id, OPEN, "status=sleeping")
-        waits = open_before.unionByName(
-            batch.where(F.col("wait_id").isNotNull()).select(*OPEN.names)
-        )
-        known = remembered(spark, batch_id + 1, now)
-        write_batch(decide(waits, known, now), f"{store}/waits", batch_id, "status")
-
-    return run
-
-
-def settled_waits(spark: SparkSession, store: str) -> DataFrame:
-    """The waits settled so far."""
-    schema = S.copy_of(OPEN)
-    for field in (*SETTLED, *S.struct("status string, batch long")):
-        schema = schema.add(field)
-    rows = read_or_empty(spark, f"{store}/waits", schema)
-    return rows.where(F.col("status") != "sleeping").drop("batch")
+    both = wait_input(waits, events)
+    far = F.lit("9999-01-01").cast("timestamp")
+    deadline = F.coalesce(after(F.col("wait_ts"), F.col("timeout_s")), far)
+    # Each side carries the other's times too, so both watermarks move with the newer stream.
+    until = F.greatest(F.coalesce(deadline, "moment"), F.col("moment"))
+    asked = both.select(
+        *OPEN.names,
+        F.when(F.col("wait_ts").isNotNull(), deadline).alias("deadline"),
+        F.when(F.col("wait_ts").isNotNull(), until).otherwise(F.col("moment")).alias("_until"),
+        F.pmod(F.xxhash64("wait_id"), F.lit(salts)).alias("_salt"),
+    )
+    asked = asked.withWatermark("_until", late).where(F.col("_until") >= F.col("deadline"))
+    known = both.select(
+        "queue", "event_name", "payload", "emitted_at", F.coalesce("seq", F.lit(0)).alias("seq"),
+        "moment",
+    )
+    # Within a batch a plain pass per partition, twice, so that a hot name is reduced first.
+    known = known.mapInPandas(_earliest, ARRIVED).repartition("queue", "event_name")
+    known = known.mapInPandas(_earliest, ARRIVED).select(
+        F.col("queue").alias("_queue"), F.col("event_name").alias("_name"), "payload",
+        "emitted_at", "moment",
+    )
+    known = known.withWatermark("moment", late).where(F.col("moment") <= F.col("emitted_at"))
+    first = known.dropDuplicates(["_queue", "_name"])
+    first = first.withColumn(
+        "_to", F.explode(F.array([F.lit(i).cast("long") for i in range(salts)]))
+    )
+    met = (
+        (F.col("queue") == F.col("_queue"))
+        & (F.col("event_name") == F.col("_name"))
+        & (F.col("_salt") == F.col("_to"))
+        & (F.col("moment") < F.col("_until"))
+    )
+    found = F.col("_name").isNotNull()
+    return asked.join(first, met, "left_outer").select(
+        *OPEN.names,
+        F.when(found, "resolved").otherwise("timed_out").alias("status"),
+        F.when(found, F.col("payload")).alias("payload"),
+        F.when(found, F.greatest("wait_ts", "emitted_at"))
+        .otherwise(F.col("deadline"))
+        .alias("resolved_at"),
+    )

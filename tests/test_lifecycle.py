@@ -57,7 +57,7 @@ def test_states_of_simple_histories(spark):
         ("new", "spawn", 0),
         ("busy", "spawn", 0), ("busy", "claim", 1, {"lease": 60}),
         ("asleep", "spawn", 0), ("asleep", "claim", 1), ("asleep", "schedule", 2, {"wake": 62}),
-        ("waiting", "spawn", 0), ("waiting", "await_event", 3, {"wake": 63, "event": "e"}),
+        ("waiting", "spawn", 0), ("waiting", "claim", 2), ("waiting", "await_event", 3, {"wake": 63, "event": "e"}),
         ("done", "spawn", 0), ("done", "claim", 1), ("done", "complete", 2, {"payload": "7"}),
         ("lost", "spawn", 0), ("lost", "claim", 1), ("lost", "fail", 2, {"payload": "{}"}),
         ("stopped", "spawn", 0), ("stopped", "cancel", 2),
@@ -77,8 +77,10 @@ def test_states_of_simple_histories(spark):
 def test_failure_with_attempts_left_starts_the_next_attempt(spark):
     df = transitions(
         spark,
-        ("now", "spawn", 0, {"max": 3}), ("now", "fail", 2, {"max": 3}),
-        ("later", "spawn", 0, {"max": 3}), ("later", "fail", 2, {"max": 3, "wake": 30}),
+        ("now", "spawn", 0, {"max": 3}), ("now", "claim", 1, {"max": 3}),
+        ("now", "fail", 2, {"max": 3}),
+        ("later", "spawn", 0, {"max": 3}), ("later", "claim", 1, {"max": 3}),
+        ("later", "fail", 2, {"max": 3, "wake": 30}),
     )
     found = states(spark, df)
     assert (found["now"].state, found["now"].attempt) == ("pending", 2)
@@ -90,9 +92,9 @@ def test_first_terminal_row_wins_and_later_writes_are_rejected(spark):
     df = transitions(
         spark,
         ("a", "spawn", 0), ("a", "cancel", 5), ("a", "complete", 6, {"payload": "1"}),
-        ("b", "spawn", 0), ("b", "fail", 5), ("b", "fail", 6), ("b", "retry", 7, {"attempt": 2}),
-        ("b", "claim", 8, {"attempt": 2, "max": 2}), ("c", "spawn", 0), ("c", "complete", 1),
-        ("c", "heartbeat", 2),
+        ("b", "spawn", 0), ("b", "claim", 1), ("b", "fail", 5), ("b", "fail", 6),
+        ("b", "retry", 7, {"attempt": 2}), ("b", "claim", 8, {"attempt": 2, "max": 2}),
+        ("c", "spawn", 0), ("c", "claim", 0), ("c", "complete", 1), ("c", "heartbeat", 2),
     )
     found = states(spark, df)
     assert found["a"].state == "cancelled" and found["a"].result is None

@@ -91,9 +91,13 @@ def test_hot_task_history_is_split(spark, rows):
         op.alias("op"), "ts", "seq", "payload", F.lit(None).cast("timestamp").alias("wake_at"),
         F.lit(60).cast("long").alias("lease_s"), F.lit(None).cast("string").alias("event_name"),
     )
-    count, plan = run(spark, lambda: history.fold_state(transitions))
+    cut = lambda: history.fold_state(transitions, rows_per_segment=4_000)
+    count, plan = run(spark, cut)
     assert count == transitions.select("task_id").distinct().count()
+    # The window runs over segments of the hot task, and joins of its rows are split.
+    assert "_segment" in plan
     assert "skew=true" in plan
+    assert cut().exceptAll(history.fold_state(transitions)).isEmpty()
 
 
 def test_hot_task_of_writes_is_split(spark, rows):

@@ -1,7 +1,7 @@
 """Streams over several files, in several micro-batches, against the batch operators."""
 
 import os
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import Window
@@ -16,6 +16,7 @@ from tallyfold.streaming import waits as stream_waits
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+SF_LARGER = "/root/testdata/sf0.01"
 LATE = 600
 
 
@@ -62,10 +63,7 @@ def watermark(spark, df, column="ts"):
 
 
 def test_waits_settle_once(spark, source):
-    store = new_path(spark, "settled")
-    both = stream_waits.wait_input(source("waits"), source("signals"))
-    run(both, "waits", stream_waits.wait_batches(store, LATE))
-    ours = plain_times(stream_waits.settled_waits(spark, store))
+    ours = run(stream_waits.settled_waits(source("waits"), source("signals")), "waits")
     wait, signal = view(spark, SF_DIR, "waits"), view(spark, SF_DIR, "signals")
     both = wait.select(F.col("wait_ts").alias("ts")).unionByName(
         signal.select(F.col("emitted_at").alias("ts"))
@@ -87,10 +85,7 @@ def test_joined_waits_keep_resolved_ones(spark, source):
 
 
 def test_lease_alerts(spark, source):
-    store = new_path(spark, "alerts")
-    keep = timers.deadline_batches(store, timers.lease_deadlines(), LATE)
-    run(source("beats"), "alerts-run", keep)
-    ours = plain_times(timers.raised_alerts(spark, store))
+    ours = run(timers.deadline_alerts(source("beats"), timers.lease_deadlines()), "alerts")
     beats = view(spark, SF_DIR, "beats")
     now = watermark(spark, beats)
     ages = observe.lease_status(beats, F.lit("2100-01-01").cast("timestamp_ntz"))
@@ -108,10 +103,8 @@ def test_lease_alerts(spark, source):
 
 
 def test_woken_runs(spark, source):
-    store = new_path(spark, "woken")
     rows_in = source("transitions").where("op = 'schedule'")
-    run(rows_in, "woken-run", timers.deadline_batches(store, timers.wake_deadlines(), LATE))
-    ours = plain_times(timers.raised_alerts(spark, store))
+    ours = run(timers.deadline_alerts(rows_in, timers.wake_deadlines()), "woken")
     whole = view(spark, SF_DIR, "transitions").where("op = 'schedule'")
     following = Window.partitionBy("run_id").orderBy("ts", "seq")
     end = F.coalesce(F.lead("ts").over(following), watermark(spark, whole))
@@ -119,25 +112,95 @@ def test_woken_runs(spark, source):
     assert rows(ours, "run_id", "seq", "due_at") == rows(woken, "run_id", "seq", "wake_at")
 
 
-def test_ended_run_raises_nothing_and_late_rows_change_nothing(spark):
-    store = new_path(spark, "ended")
-    step = timers.deadline_batches(store, timers.lease_deadlines(), late_s=0)
-    schema = "run_id string, ts timestamp, seq long, lease_s long, ended boolean"
+BEATS = "run_id string, ts timestamp, seq long, lease_s long, ended boolean"
 
-    def batch(*beats):
-        return spark.createDataFrame(
-            [(r, datetime(2026, 1, 1, 0, 0, s), s, lease, end) for r, s, lease, end in beats],
-            schema,
-        )
 
-    step(batch(("a", 0, 10, None), ("b", 1, 10, None)), 0)
-    step(batch(("a", 5, 10, True), ("b", 0, 1, None), ("c", 12, 10, None)), 1)
-    step(batch(("c", 40, 10, False)), 2)
-    step(batch(("c", 40, 10, False)), 2)
-    raised = {(r.run_id, r.seq, r.level) for r in timers.raised_alerts(spark, store).collect()}
-    assert raised == {("b", 1, "warning"), ("b", 1, "expired"), ("c", 12, "warning"),
-                      ("c", 12, "expired")}
-    assert timers.raised_alerts(spark, store).count() == 4
+def beats(spark, *batches):
+    """A stream of one batch per argument: (run, second, lease, ended) rows."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    folder, start = new_path(spark, "beats"), datetime(2026, 1, 1)
+    for i, batch in enumerate(batches):
+        made = [(r, start + timedelta(seconds=s), s, lease, end) for r, s, lease, end in batch]
+        spark.createDataFrame(made, BEATS).coalesce(1).write.parquet(f"{folder}/p={i}")
+    reader = spark.readStream.schema(BEATS).option("maxFilesPerTrigger", 1)
+    return reader.parquet(f"{folder}/p=*").drop("p")
+
+
+def raised(spark, stream, **options):
+    found = run(timers.deadline_alerts(stream, timers.lease_deadlines(), **options), "raised")
+    return {(r.run_id, r.seq, r.level) for r in found.collect()}
+
+
+def test_ended_runs_raise_nothing_and_shorter_leases_replace_longer_ones(spark):
+    found = raised(
+        spark,
+        beats(
+            spark,
+            [("a", 0, 10, None), ("b", 1, 10, None), ("d", 0, 100, None)],
+            [("a", 5, 10, True), ("d", 6, 2, None), ("c", 12, 10, None)],
+            [("c", 40, 10, False), ("x", 60, 1, None)],
+            [("x", 61, 1, None)],
+        ),
+        late="0 seconds",
+    )
+    assert found >= {("b", 1, "warning"), ("b", 1, "expired"), ("c", 12, "warning"),
+                     ("c", 12, "expired"), ("d", 6, "warning"), ("d", 6, "expired")}
+    assert not {f for f in found if f[:2] in {("a", 0), ("a", 5), ("d", 0)}}
+
+
+def test_heartbeats_within_the_lateness_replace_and_raise(spark):
+    """Two beats come a batch late: the first lease raises nothing, their own deadlines do."""
+    found = raised(
+        spark,
+        beats(
+            spark,
+            [("a", 0, 60, None), ("z", 400, 1000, None)],
+            [("a", 90, 60, None), ("a", 45, 60, None), ("z", 500, 1000, None)],
+            [("z", 1200, 1000, None)],
+            [("z", 1300, 1000, None)],
+        ),
+        late="10 minutes",
+    )
+    assert found == {("a", 90, "warning"), ("a", 90, "expired")}
+
+
+def test_a_deadline_beyond_the_bound_is_an_error(spark):
+    with pytest.raises(Exception, match="longest_s"):
+        raised(spark, beats(spark, [("a", 0, 90, None)], [], [], []), longest_s=100)
+
+
+@pytest.mark.parametrize("late_s", [0, 900])
+def test_a_snapshot_stream_with_rows_out_of_order(spark, late_s):
+    """Within the lateness any order gives the batch fold; later rows go to the side table."""
+    store, whole = new_path(spark, "disorder"), view(spark, SF_LARGER, "transitions")
+    keep = events.snapshot_batches(store, late_s)
+    at = F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000
+    arrival = at + F.when(F.col("seq") % 3 == 0, 890).otherwise(0)
+    batch = F.floor((arrival - 1704067200) / (4 * 86400)).cast("int")
+    table = whole.withColumn("_batch", batch).persist()
+    last = table.agg(F.max("_batch")).first()[0]
+    for i in range(last + 1):
+        rows_in = table.where(F.col("_batch") == i).drop("_batch")
+        keep(rows_in.withColumns({c: F.col(c).cast("timestamp") for c in ("ts", "wake_at")}), i)
+    ours = plain_times(events.latest_snapshot(spark, store, last))
+    late = events.late_rows(spark, store).select("queue", "task_id", "seq")
+    assert (late.count() > 0) == (late_s == 0)
+    kept = whole.join(late, ["queue", "task_id", "seq"], "left_anti")
+    batch_fold = history.fold_state(kept)
+    assert rows(ours, *batch_fold.columns) == rows(batch_fold, *batch_fold.columns)
+
+
+def test_a_replayed_snapshot_batch_changes_nothing(spark):
+    store, whole = new_path(spark, "replay"), view(spark, SF_DIR, "transitions")
+    keep = events.snapshot_batches(store, 600)
+    rows_in = whole.withColumns({c: F.col(c).cast("timestamp") for c in ("ts", "wake_at")})
+    parts = [rows_in.where(F.floor(F.dayofmonth("ts") % 31 / 8) == i) for i in range(4)]
+    for i in (0, 0, 1, 2, 2, 3):
+        keep(parts[i], i)
+    ours = plain_times(events.latest_snapshot(spark, store, 3))
+    late = events.late_rows(spark, store).select("queue", "task_id", "seq")
+    kept = history.fold_state(whole.join(late, ["queue", "task_id", "seq"], "left_anti"))
+    assert rows(ours, *kept.columns) == rows(kept, *kept.columns)
 
 
 def test_submit_spawns_each_key_once(spark, source):

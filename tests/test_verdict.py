@@ -61,7 +61,7 @@ def test_a_heartbeat_does_not_wake_a_sleeper(spark):
 
 
 def test_payloads_shuffled_by_the_fold_are_those_of_ending_rows(spark, tmp_path):
-    rows(spark, ("spawn", 0, {"payload": "{}"}), ("complete", 1, {"payload": "7"})).write.parquet(str(tmp_path / "h"))
+    rows(spark, ("spawn", 0, {"payload": "{}"}), ("claim", 1), ("complete", 1, {"payload": "7"})).write.parquet(str(tmp_path / "h"))
     table = spark.read.parquet(str(tmp_path / "h"))
     assert history.fold_state(table).first().result == "7"
     plan = history.fold_state(table)._jdf.queryExecution().optimizedPlan().toString()
