@@ -12,6 +12,7 @@ import json
 import traceback
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from datetime import datetime
 from typing import Any
 
 import pandas as pd
@@ -21,6 +22,9 @@ from pyspark.sql import types as T
 
 from tallyfold import schemas as S
 from tallyfold.functions.text import failure_record
+from tallyfold.functions.timing import after, cancellation_deadline
+from tallyfold.operators.audits import RETRY_KINDS
+from tallyfold.operators.fold import strategy_delay
 from tallyfold.operators.history import replay
 from tallyfold.session import read_or_empty
 
@@ -75,6 +79,8 @@ class Task:
     max_attempts: int | None = None
     max_delay_s: int | None = None
     max_duration_s: int | None = None
+    retry: tuple[str, float, float | None, float | None] | None = None
+    batch: bool = False
 
     def __call__(self, params: Any, context: Context) -> Ok | Err:
         return self.run(params, context)
@@ -91,8 +97,15 @@ def task(
     max_attempts: int | None = None,
     max_delay_s: int | None = None,
     max_duration_s: int | None = None,
+    retry: tuple[str, float, float | None, float | None] | None = None,
+    batch: bool = False,
 ) -> Callable[[Callable], Task]:
-    """Register ``fn(params, context) -> Ok | Err`` under a durable name."""
+    """Register ``fn(params, context) -> Ok | Err`` under a durable name.
+
+    With ``batch`` the function is ``fn(rows) -> Series`` instead: it gets a frame of many rows
+    with ``task_id``, ``attempt`` and JSON ``params`` and returns the JSON results in their
+    order. ``retry`` is (kind, base seconds, factor, most seconds), for ``run_due``.
+    """
     if not isinstance(name, str) or not name.strip():
         raise ConfigurationError("a task name must be a non-empty string")
     if queue is not None and not 0 < len(queue.encode()) <= S.MAX_QUEUE_BYTES:
@@ -102,7 +115,11 @@ def task(
     for seconds in (max_delay_s, max_duration_s):
         if seconds is not None and not (type(seconds) is int and seconds >= 0):
             raise ConfigurationError("cancellation limits are whole seconds from zero")
-    return lambda fn: Task(name, fn, queue, max_attempts, max_delay_s, max_duration_s)
+    if retry is not None and (len(retry) != 4 or retry[0] not in RETRY_KINDS):
+        raise ConfigurationError(f"retry is (kind, base, factor, most) with a kind of {RETRY_KINDS}")
+    return lambda fn: Task(
+        name, fn, queue, max_attempts, max_delay_s, max_duration_s, retry, batch
+    )
 
 
 class Registry:
@@ -132,6 +149,15 @@ class Registry:
         ]
         return spark.createDataFrame(rows, CATALOG)
 
+    def options(self, spark: SparkSession) -> DataFrame:
+        """Limits and retry strategy of each name, as a table."""
+        rows = [
+            (t.name, t.max_attempts or S.DEFAULT_MAX_ATTEMPTS, t.max_delay_s, t.max_duration_s, t.retry)
+            for t in self.tasks.values()
+        ]
+        schema = S.struct("task_name string, max_attempts int, max_delay_s long, max_duration_s long")
+        return spark.createDataFrame(rows, schema.add("retry_strategy", S.RETRY_STRATEGY))
+
 
 def _error(name: str, message: Any, trace: str | None = None) -> tuple:
     text = message if isinstance(message, str) else repr(message)
@@ -151,6 +177,23 @@ def _outcome(run: Callable[[], Ok | Err]) -> tuple:
         return _error(type(error).__name__, str(error), traceback.format_exc())
 
 
+def _called_in_batch(rows: pd.DataFrame, execute: Callable[[pd.DataFrame], Any]) -> list[tuple]:
+    """Outcomes of one call for many rows; a batch that fails is halved, so bad rows fail alone."""
+    try:
+        results = list(execute(rows))
+        if len(results) != len(rows):
+            raise RuntimeError(f"batch task returned {len(results)} results for {len(rows)} rows")
+        wrong = [r for r in results if not (r is None or isinstance(r, str))]
+        if wrong:
+            raise RuntimeError(f"batch task returned {wrong[0]!r}; neither JSON text nor None")
+        return [("completed", "null" if r is None else r, None, None, None) for r in results]
+    except Exception as error:
+        if len(rows) == 1:
+            return [_error(type(error).__name__, str(error), traceback.format_exc())]
+        half = len(rows) // 2
+        return _called_in_batch(rows.iloc[:half], execute) + _called_in_batch(rows.iloc[half:], execute)
+
+
 def run_tasks(
     runs: DataFrame,
     registry: Registry,
@@ -160,9 +203,11 @@ def run_tasks(
     """Call each run's task once: completed with a JSON result, failed, or deferred.
 
     ``runs`` has task_id, task_name, attempt and JSON ``params``. A name that is not
-    registered is deferred. ``wrap(context, execute)`` brackets every call. ``partitions``
-    spreads slow functions evenly, whatever the files look like. The result is lazy; write
-    it once before reading it twice.
+    registered is deferred. ``wrap(context, execute)`` brackets every call; for a batch function
+    the context is a frame of its rows. A batch function is called once for all its rows of an
+    Arrow batch; if that fails, for its halves, so a bad row fails alone and the rest completes.
+    ``partitions`` spreads slow functions evenly, whatever the files look like. The result is
+    lazy; write it once before reading it twice.
     """
     tasks = registry.tasks
 
@@ -177,9 +222,21 @@ def run_tasks(
 
         return _outcome(execute if wrap is None else lambda: wrap(context, execute))
 
+    def call_batch(entry: Task, rows: pd.DataFrame) -> list[tuple]:
+        own = rows[["task_id", "attempt", "params"]]
+        found = _called_in_batch(
+            own, lambda part: entry.run(part) if wrap is None else wrap(part, lambda: entry.run(part))
+        )
+        return [(t, a, *outcome) for t, a, outcome in zip(own.task_id, own.attempt, found)]
+
+    batched = {name for name, entry in tasks.items() if entry.batch}
+
     def run(batches):
         for batch in batches:
-            done = [(r.task_id, r.attempt, *call(r)) for r in batch.itertuples(index=False)]
+            whole = batch.task_name.isin(batched)
+            done = [(r.task_id, r.attempt, *call(r)) for r in batch[~whole].itertuples(index=False)]
+            for name, rows in batch[whole].groupby("task_name"):
+                done += call_batch(tasks[name], rows)
             yield pd.DataFrame(done, columns=OUTCOMES.names)
 
     # Rows from an outer join carry a plain None, not NaN, in string columns.
@@ -247,6 +304,95 @@ def run_with_retries(
     )
 
 
+DUE = T.StructType([*ATTEMPTS.fields, *S.struct("started_at timestamp, wake_at timestamp")])
+
+
+def run_due(
+    runs: DataFrame,
+    registry: Registry,
+    store: str,
+    now: datetime,
+    wrap: Callable | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Run what is due at ``now``, and say where every run stands then.
+
+    ``runs`` has task_id, task_name, JSON ``params`` and ``spawned_at``. An attempt that fails at
+    a time wakes after its task's retry delay; before that a call runs it no more. A run whose
+    cancellation limits (most delay before the start, longest duration after it) have passed
+    ends cancelled instead. Attempts, their start and wake times are rows of ``store``, so
+    calls may be minutes or days apart, a lost job loses only its unfinished tasks, and a call
+    at the same time runs nothing twice. Unregistered names are deferred.
+    """
+    spark = runs.sparkSession
+    at = F.lit(now).cast("timestamp")
+    options = registry.options(spark)
+
+    def standing() -> DataFrame:
+        made = read_or_empty(spark, store, DUE)
+        # An attempt that a rerun wrote twice counts as completed if one of its rows does.
+        once = made.groupBy("task_id", "attempt").agg(
+            F.min(F.struct("state", "result", "failure", "started_at", "wake_at")).alias("_row")
+        )
+        last = once.groupBy("task_id").agg(
+            F.max_by(F.struct("attempt", "_row"), "attempt").alias("_last"),
+            F.min("_row.started_at").alias("_first"),
+        )
+        return runs.join(options, "task_name", "left").join(last, "task_id", "left")
+
+    most = max((t.max_attempts or S.DEFAULT_MAX_ATTEMPTS for t in registry.tasks.values()), default=0)
+    made = F.coalesce("_last.attempt", F.lit(0))
+    again = (F.col("_last._row.state") == "failed") & (made < F.col("max_attempts"))
+    live = F.col("max_attempts").isNotNull() & (F.col("_last").isNull() | again)
+    deadline = cancellation_deadline(
+        F.col("spawned_at").cast("timestamp"), F.col("_first"), F.col("max_delay_s"),
+        F.col("max_duration_s"),
+    )
+    over = F.coalesce(deadline <= at, F.lit(False))
+    due = live & ~over & F.coalesce(F.col("_last._row.wake_at") <= at, F.lit(True))
+
+    def append(rows: DataFrame) -> None:
+        rows.select(*DUE.names).write.mode("append").options(**COMMIT_PER_TASK).partitionBy(
+            "attempt"
+        ).parquet(store)
+
+    none = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in DUE}
+    cancelled = standing().where(live & over).select(
+        "task_id", (made + 1).alias("attempt"), F.lit("cancelled").alias("state"), none["result"],
+        none["failure"], none["started_at"], none["wake_at"],
+    )
+    append(cancelled)
+    # Without a delay the next attempt is due at once, so as many rounds as attempts at most.
+    for _ in range(most):
+        todo = standing().where(due).select(
+            "task_id", "task_name", "params", (made + 1).alias("attempt"), "retry_strategy"
+        )
+        if todo.isEmpty():
+            break
+        delay = strategy_delay("retry_strategy", F.col("attempt"))
+        wakes = todo.select("task_id", after(at, delay).alias("_wake"))
+        done = run_tasks(todo.drop("retry_strategy"), registry, wrap, partitions)
+        append(
+            done.join(wakes, "task_id").select(
+                *ATTEMPTS.names, at.alias("started_at"),
+                F.when(F.col("state") == "failed", F.col("_wake")).alias("wake_at"),
+            )
+        )
+    asleep = F.col("_last._row.state") == "failed"
+    return standing().select(
+        *runs.columns,
+        made.alias("attempt"),
+        F.when(F.col("max_attempts").isNull(), "deferred")
+        .when(F.col("_last").isNull(), "pending")
+        .when(asleep & (made < F.col("max_attempts")), "sleeping")
+        .otherwise(F.col("_last._row.state"))
+        .alias("state"),
+        F.col("_last._row.result").alias("result"),
+        F.col("_last._row.failure").alias("failure"),
+        F.when(asleep & (made < F.col("max_attempts")), F.col("_last._row.wake_at")).alias("wake_at"),
+    )
+
+
 def durable_step(
     rows: DataFrame,
     name: str,

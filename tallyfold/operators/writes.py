@@ -10,11 +10,18 @@ from tallyfold.functions.payload import is_json
 from tallyfold.functions.text import durable_problem, queue_problem
 from tallyfold.functions.timing import after, after_milliseconds, retry_delay, whole_seconds
 from tallyfold.operators.audits import option_problems
-from tallyfold.operators.history import TASK, dedupe_requests, due_batch, is_terminal
+from tallyfold.operators.catalog import resolve_options, route
+from tallyfold.operators.fold import SPEC, TASK, strategy_delay
+from tallyfold.operators.history import dedupe_requests, due_batch, first_events, is_terminal
+from tallyfold.session import written
 
 REQUEST_ORDER = ["ts", "seq"]
 #: What a request says about its task, besides ids; ``submit`` passes on those that are given.
-SPAWN_COLUMNS = ("task_name", "params", "headers", "max_attempts", "requested_at")
+SPAWN_COLUMNS = (
+    "task_name", "params", "headers", "max_attempts", "requested_at", "retry_kind",
+    "retry_base_seconds", "retry_factor", "retry_max_seconds", "max_delay_s", "max_duration_s",
+)
+RETRY_COLUMNS = ("retry_kind", "retry_base_seconds", "retry_factor", "retry_max_seconds")
 
 
 def new_id(*parts: Column) -> Column:
@@ -32,6 +39,7 @@ def _decided(snapshot: DataFrame, requests: DataFrame, needs_running: bool) -> D
         F.col("max_attempts").alias("_max_attempts"),
         F.col("task_name").alias("_task_name"),
         F.col("state").alias("_state"),
+        *(F.col(c).alias(f"_{c}") for c in ("retry_strategy",) if c in snapshot.columns),
     )
     joined = requests.join(current, TASK, "left")
     state = F.col("_state")
@@ -94,15 +102,60 @@ def _record(
 
 
 def claim(runs: DataFrame, now: Column, k: int, lease_ms: int) -> DataFrame:
-    """Claim rows for up to ``k`` due runs per queue, with a lease in whole seconds."""
+    """Claim rows for up to ``k`` due runs per queue, with a lease in whole seconds.
+
+    Of a snapshot with details the claim says why the run goes on: a run whose event arrived has
+    its ``event_payload`` and no ``wake_event``, one that timed out the event's name and no payload.
+    ``claim_history`` makes the claims rows of the history.
+    """
     ready = due_batch(runs, now, k)
+    dropped = ["state", "wake_at", "seq", "wake_event"]
+    woken = []
+    if "event_payload" in runs.columns:
+        timed_out = F.when(F.col("state") == "sleeping", F.col("event_name"))
+        woken = [timed_out.alias("wake_event")]
     return ready.select(
-        *[c for c in runs.columns if c not in ("state", "wake_at")],
+        *[c for c in runs.columns if c not in dropped],
         F.lit("claim").alias("op"),
         now.alias("ts"),
         F.col("place").alias("seq"),
         whole_seconds(F.lit(lease_ms)).alias("lease_s"),
+        *woken,
+    )
+
+
+def claim_history(claims: DataFrame) -> DataFrame:
+    """Rows of the history for claims of a snapshot with details."""
+    return claims.select(
+        *TASK, "run_id", "attempt", "max_attempts", "task_name", "op", "ts", "seq",
+        F.col("event_payload").alias("payload"), F.lit(None).cast(claims.schema["ts"].dataType).alias("wake_at"),
+        "lease_s", F.col("wake_event").alias("event_name"),
+    )
+
+
+def wake(snapshot: DataFrame, events: DataFrame, now: Column) -> DataFrame:
+    """History rows for the sleeping tasks whose awaited event is there by ``now``.
+
+    The first event of the name counts, also one from before the wait; one at the deadline or
+    after it does not, and a wait without a deadline has no end. The task is then due, with the
+    event's payload. ``snapshot`` has details, and tasks that are not waiting change nothing, so
+    appending the rows and folding again ends after one round per wait.
+    """
+    first = first_events(events, now).select(
+        "queue", "event_name", F.col("payload").alias("_payload"), F.col("emitted_at").alias("_at")
+    )
+    waits = snapshot.where((F.col("state") == "sleeping") & F.col("event_name").isNotNull())
+    # Written, so that a hot name can be split between two plain shuffles.
+    met = waits.join(written(first, "first-events"), ["queue", "event_name"]).where(
+        F.col("wake_at").isNull() | (F.col("_at") < F.col("wake_at"))
     )
+    return met.select(
+        *TASK, "run_id", "attempt", "max_attempts", "task_name", F.lit(S.WAKE_OP).alias("op"),
+        F.greatest("updated_at", "_at").alias("ts"), (F.col("seq") + 1).alias("seq"),
+        F.col("_payload").alias("payload"),
+        F.lit(None).cast(snapshot.schema["updated_at"].dataType).alias("wake_at"),
+        F.lit(None).cast("long").alias("lease_s"), "event_name",
+    )
 
 
 def complete(snapshot: DataFrame, requests: DataFrame) -> DataFrame:
@@ -111,15 +164,21 @@ def complete(snapshot: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def fail(snapshot: DataFrame, requests: DataFrame) -> DataFrame:
-    """Fail running tasks; the next attempt wakes at ``retry_at`` or after the retry delay."""
-    delay = retry_delay(
-        F.col("retry_kind"),
-        F.col("retry_base_seconds"),
-        F.col("retry_factor"),
-        F.col("retry_max_seconds"),
-        F.col("_attempt"),
-    )
-    wake_at = F.coalesce("retry_at", after(F.col("ts"), delay))
+    """Fail running tasks; the next attempt wakes at ``retry_at`` or after the retry delay.
+
+    A request may name a retry strategy; otherwise the one that the task was spawned with
+    counts, which a snapshot with details has.
+    """
+    delay = F.lit(None).cast("double")
+    if "retry_strategy" in snapshot.columns:
+        delay = strategy_delay("_retry_strategy", F.col("_attempt"))
+    if "retry_kind" in requests.columns:
+        asked = retry_delay(*[F.col(c) for c in RETRY_COLUMNS], F.col("_attempt"))
+        own = F.lit(True) if "retry_strategy" not in snapshot.columns else F.col("retry_kind").isNotNull()
+        delay = F.when(own, asked).otherwise(delay)
+    wake_at = after(F.col("ts"), F.coalesce(delay, F.lit(0.0)))
+    if "retry_at" in requests.columns:
+        wake_at = F.coalesce("retry_at", wake_at)
     last = F.col("_attempt") >= F.col("_max_attempts")
     return _record(
         snapshot,
@@ -203,9 +262,11 @@ def retry(
     """Retry failed tasks in place with the next attempt, or as a new task from attempt 1.
 
     New ids are hashes of the old id and attempt, so running it twice adds no second task. The
-    first request per task counts; later ones come back as ``superseded``.
+    first request per task counts; later ones come back as ``superseded``. Of a snapshot with
+    details a new task gets the parameters, as ``payload``, and the options of the old one.
     """
-    current = snapshot.select(*TASK, "attempt", "max_attempts", "task_name", "state")
+    spec = ["params", *SPEC] if spawn_new and "params" in snapshot.columns else []
+    current = snapshot.select(*TASK, "attempt", "max_attempts", "task_name", "state", *spec)
     first = requests.groupBy(*TASK).agg(F.min(F.struct(*REQUEST_ORDER)).alias("_first"))
     asked = requests.select(*TASK, F.struct(*REQUEST_ORDER).alias("_at")).join(first, TASK)
     rows = asked.join(current, TASK, "left").withColumn("source_task_id", F.col("task_id"))
@@ -237,17 +298,27 @@ def retry(
         reason.isNull().alias("accepted"),
         reason.alias("reason"),
         F.lit(spawn_new).alias("created"),
+        *(F.col(c).alias("payload" if c == "params" else c) for c in spec),
     )
 
 
-def submit(existing: DataFrame, requests: DataFrame, hook=None) -> DataFrame:
+def submit(
+    existing: DataFrame,
+    requests: DataFrame,
+    hook=None,
+    catalog: DataFrame | None = None,
+    default_queue: str = "default",
+) -> DataFrame:
     """Spawn idempotently: a known (queue, key) gives the task it had, ``created`` false.
 
     ``hook`` maps the requests to requests, for example to add headers; names, payloads
     and options are checked before and after it. ``existing`` holds queue,
     idempotency_key, task_id, run_id and attempt. The task's name, parameters, headers and
-    limit come along; ``spawn_history`` makes them rows of the history.
+    limits come along; ``spawn_history`` makes them rows of the history. With ``catalog`` the
+    requests are routed first, and options that they leave out come from the task's defaults.
     """
+    if catalog is not None:
+        requests = _with_defaults(requests, catalog, default_queue)
     checked = _with_problem(requests)
     if hook is not None:
         ok = hook(checked.where(F.col("problem").isNull()).drop("problem"))
@@ -294,9 +365,13 @@ def spawn_history(
 ) -> DataFrame:
     """The history rows of the tasks that ``submit`` created, to append to ``transitions``.
 
-    ``params`` becomes the payload. Rows of a task are numbered from 0, the spawn.
+    ``params`` becomes the payload; headers, retry strategy and cancellation limits are columns
+    of their own (``schemas.HISTORY``). Rows of a task are numbered from 0, the spawn.
     """
     given = {c: F.col(c) if c in submitted.columns else F.lit(None) for c in SPAWN_COLUMNS}
+    strategy = F.struct(
+        *[given[c].cast(f.dataType).alias(f.name) for c, f in zip(RETRY_COLUMNS, S.RETRY_STRATEGY)]
+    )
     return submitted.where("created").select(
         *TASK,
         "run_id",
@@ -309,15 +384,36 @@ def spawn_history(
         F.col("requested_at").alias("ts"),
         F.lit(0).cast("long").alias("seq"),
         given["params"].cast("string").alias("payload"),
-        F.lit(None).cast("timestamp_ntz").alias("wake_at"),
+        F.lit(None).cast(submitted.schema["requested_at"].dataType).alias("wake_at"),
         F.lit(None).cast("long").alias("lease_s"),
         F.lit(None).cast("string").alias("event_name"),
+        given["headers"].cast(S.SPEC_TYPES["headers"]).alias("headers"),
+        F.when(given["retry_kind"].isNotNull(), strategy).alias("retry_strategy"),
+        given["max_delay_s"].cast("long").alias("max_delay_s"),
+        given["max_duration_s"].cast("long").alias("max_duration_s"),
+    )
+
+
+def _with_defaults(requests: DataFrame, catalog: DataFrame, default_queue: str) -> DataFrame:
+    """Requests with their queue and options, and ``_refused`` where no queue takes them."""
+    wanted = {"max_attempts": "int", "max_delay_s": "long", "max_duration_s": "long"}
+    absent = {c: F.lit(None).cast(kind) for c, kind in wanted.items() if c not in requests.columns}
+    full = requests.withColumns(absent) if absent else requests
+    routed = route(full, catalog, default_queue).select(
+        *[c for c in full.columns if c != "queue"],
+        F.coalesce("routed_queue", "queue").alias("queue"),
+        F.col("reason").alias("_refused"),
+    )
+    resolved = resolve_options(routed, catalog, default_queue=default_queue)
+    return resolved.withColumns({c: F.col(f"resolved_{c}") for c in wanted}).drop(
+        *[f"resolved_{c}" for c in wanted]
     )
 
 
 def _with_problem(requests: DataFrame) -> DataFrame:
-    """The first broken rule of each request: names, payload, then options."""
-    rules = [queue_problem(F.col("queue")), durable_problem(F.col("task_name"))]
+    """The first broken rule of each request: its route, names, payload, then options."""
+    rules = [F.col("_refused")] if "_refused" in requests.columns else []
+    rules += [queue_problem(F.col("queue")), durable_problem(F.col("task_name"))]
     if "params" in requests.columns:
         rules.append(F.when(~is_json(F.col("params")), F.lit("invalid_json")))
     rules.append(F.get(option_problems(requests.columns), F.lit(0)))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators import history, steps, writes
 from tallyfold.queries.views import NOW, sql, view
+from tallyfold.session import written
 
 ENDS = "(op IN ('complete', 'cancel') OR (op = 'fail' AND attempt >= coalesce(max_attempts, 5)))"
 GENERATIONS = """, generations AS (
@@ -61,6 +62,23 @@ def fold_sql(body: str, *extra: str, where: str = "") -> str:
     return sql("transitions", *extra, body=FOLD + body, where=where, now=f"TIMESTAMP '{NOW}'")
 
 
+def woken_sql(body: str) -> str:
+    """``body`` over the snapshot of the waiting history and the waits whose event arrived."""
+    lasting = """, lasting AS (SELECT * REPLACE (CASE WHEN op = 'await_event' AND seq % 4 = 0
+                   THEN NULL ELSE wake_at END AS wake_at) FROM transitions WHERE ts <= $now)"""
+    woken = """, firsts AS (
+        SELECT queue, event_name, arg_min(payload, (emitted_at, seq)) AS payload,
+               min(emitted_at) AS emitted_at
+        FROM announced WHERE emitted_at <= $now GROUP BY ALL),
+      woken AS (
+        SELECT s.*, f.payload, greatest(updated_at, emitted_at) AS ts
+        FROM snapshot s JOIN firsts f USING (queue, event_name)
+        WHERE state = 'sleeping' AND (wake_at IS NULL OR emitted_at < wake_at)) """
+    folded = FOLD.replace("FROM transitions $where", "FROM lasting")
+    return sql("transitions", "announced", body=lasting + folded + woken + body,
+               now=f"TIMESTAMP '{NOW}'")
+
+
 def now():
     return F.lit(NOW).cast("timestamp_ntz")
 
@@ -107,6 +125,62 @@ def claim_from_history(spark, sf):
     return claimed.select("queue", "task_id", "run_id", "attempt", "op", "ts", "seq", "lease_s")
 
 
+def _waiting(spark, sf):
+    """The history up to the cut, half of its waits for events without a timeout."""
+    lasting = (F.col("op") == "await_event") & (F.col("seq") % 4 == 0)
+    rows = view(spark, sf, "transitions").where(F.col("ts") <= now())
+    return rows.withColumn("wake_at", F.when(~lasting, F.col("wake_at")))
+
+
+def _wakes(spark, sf):
+    folded = history.fold_state(_waiting(spark, sf), details=True)
+    return writes.wake(folded, view(spark, sf, "announced"), now())
+
+
+def wake_from_events(spark, sf):
+    return _wakes(spark, sf).select(
+        "queue", "task_id", "run_id", "attempt", "op", "ts", "payload", "event_name"
+    )
+
+
+def claim_woken(spark, sf):
+    """The loop closed: fold, wake, fold again, claim, and fold the claims into the state."""
+    rows = _waiting(spark, sf)
+    rows = rows.unionByName(written(_wakes(spark, sf), "wakes"))
+    folded = history.fold_state(rows, details=True)
+    claims = written(writes.claim(folded, now(), 40, 2_500), "claims")
+    after = history.fold_state(
+        rows.unionByName(writes.claim_history(claims)), as_of=now(), details=True
+    )
+    return after.where("state = 'running' AND lease_until > updated_at").select(
+        "queue", "task_id", "run_id", "attempt", "lease_until", "wake_event", "event_payload"
+    ).where(F.col("lease_until") == now() + F.expr("interval 3 seconds"))
+
+
+def spawned_options(spark, sf):
+    """Options of submitted tasks, through the history and back."""
+    small = F.col("request_id").cast("long") % 3 == 0
+    requests = view(spark, sf, "requests").select(
+        "*",
+        F.create_map(F.lit("queue"), F.col("queue")).alias("headers"),
+        F.when(small, "exponential").alias("retry_kind"),
+        F.lit(30.0).alias("retry_base_seconds"),
+        F.lit(None).cast("double").alias("retry_factor"),
+        F.lit(600.0).alias("retry_max_seconds"),
+        F.when(~small, 3_600).cast("long").alias("max_delay_s"),
+        F.lit(60).cast("long").alias("max_duration_s"),
+    )
+    stored = writes.spawn_history(writes.submit(_no_tasks(spark), requests))
+    folded = history.fold_state(stored, details=True)
+    overdue = history.cancel_overdue(folded, now())
+    return overdue.select(
+        "queue", "task_id", "params", F.element_at("headers", "queue").alias("header"),
+        F.col("retry_strategy.kind").alias("retry_kind"),
+        F.col("retry_strategy.max_seconds").alias("retry_max_seconds"), "max_delay_s",
+        "max_duration_s", "state", "ended_at",
+    )
+
+
 def _no_tasks(spark):
     return spark.createDataFrame(
         [], "queue string, idempotency_key string, task_id string, run_id string, attempt int"
@@ -307,6 +381,41 @@ QUERIES = {
                 FROM snapshot GROUP BY ALL"""
         ),
     ),
+    "wake_from_events": (
+        wake_from_events,
+        woken_sql("""SELECT queue, task_id, run_id, attempt, 'wake' AS op, ts, payload, event_name
+                     FROM woken"""),
+    ),
+    "claim_woken": (
+        claim_woken,
+        woken_sql("""SELECT queue, task_id, run_id, attempt, $now + INTERVAL 3 SECOND AS lease_until,
+                       CASE WHEN NOT arrived AND state = 'sleeping' THEN event_name END AS wake_event,
+                       CASE WHEN arrived THEN payload END AS event_payload
+                     FROM (SELECT s.*, w.payload, w.task_id IS NOT NULL AS arrived
+                           FROM snapshot s LEFT JOIN woken w USING (queue, task_id))
+                     WHERE arrived OR state = 'pending' OR (state = 'sleeping' AND wake_at <= $now)
+                     QUALIFY row_number() OVER (PARTITION BY queue ORDER BY
+                       CASE WHEN arrived THEN NULL ELSE wake_at END NULLS FIRST, run_id) <= 40"""),
+    ),
+    "spawned_options": (
+        spawned_options,
+        sql(
+            "requests",
+            body="""SELECT queue, md5(concat(queue, chr(1), request_id)) AS task_id, params,
+                      queue AS header, CASE WHEN small THEN 'exponential' END AS retry_kind,
+                      CASE WHEN small THEN CAST(600 AS DOUBLE) END AS retry_max_seconds,
+                      CASE WHEN NOT small THEN CAST(3600 AS BIGINT) END AS max_delay_s,
+                      CAST(60 AS BIGINT) AS max_duration_s,
+                      CASE WHEN over THEN 'cancelled' ELSE 'pending' END AS state,
+                      CASE WHEN over THEN requested_at + INTERVAL 1 HOUR END AS ended_at
+                    FROM (SELECT *, coalesce(NOT small AND requested_at + INTERVAL 1 HOUR <= $now,
+                                             false) AS over
+                          FROM (SELECT *, CAST(request_id AS BIGINT) % 3 = 0 AS small FROM requests))
+                    QUALIFY idempotency_key IS NULL OR row_number() OVER (
+                      PARTITION BY queue, idempotency_key ORDER BY requested_at, request_id) = 1""",
+            now=f"TIMESTAMP '{NOW}'",
+        ),
+    ),
     "rejected_writes": (
         rejected_writes,
         sql(

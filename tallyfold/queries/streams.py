@@ -59,6 +59,8 @@ def finish(stream_df: DataFrame, label: str, each_batch=None) -> DataFrame:
     """Run the stream over what its source holds and return what it wrote."""
     spark = stream_df.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # Commit the changes of a batch, not whole files of state.
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     out = new_path(spark, label)
     writer = stream_df.writeStream.trigger(availableNow=True)
     writer = writer.option("checkpointLocation", f"{out}/checkpoint")
@@ -123,14 +125,14 @@ def resolved_waits(spark, sf):
 
 def lease_alerts(spark, sf):
     rows = stream(spark, sf, "beats", late=SOME)
-    return finish(timers.deadline_alerts(rows, timers.lease_deadlines()), "lease-alerts")
+    return finish(timers.deadline_alerts(rows, timers.lease_deadlines(), longest_s=28_800), "lease-alerts")
 
 
 def woken_runs(spark, sf):
     rows = stream(spark, sf, "transitions", late=SOME)
     ends = ends_task(F.col("op"), F.col("attempt"), F.col("max_attempts"))
     rows = rows.withColumn("ended", ends)
-    return finish(timers.deadline_alerts(rows, timers.wake_deadlines()), "woken-runs")
+    return finish(timers.deadline_alerts(rows, timers.wake_deadlines(), longest_s=3_600), "woken-runs")
 
 
 def terminal_results(spark, sf):

@@ -28,6 +28,11 @@ VIEWS = {
         SELECT 'orders' AS queue, CAST(user_id AS STRING) AS event_name, props AS payload,
                ts AS emitted_at, event_id AS seq
         FROM events WHERE event_type = 'purchase'""",
+    "announced": """
+        SELECT concat('q', CAST(user_id % 3 AS STRING)) AS queue,
+               concat('event ', CAST(event_id % 11 AS STRING)) AS event_name, props AS payload,
+               ts AS emitted_at, event_id AS seq
+        FROM events WHERE event_type = 'purchase'""",
     "waits": """
         SELECT CAST(event_id AS STRING) AS wait_id, 'orders' AS queue,
                CAST(user_id AS STRING) AS event_name, ts AS wait_ts,

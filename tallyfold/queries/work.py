@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
+import pandas as pd
 from pyspark.sql import functions as F
 
-from tallyfold.operators.tasks import Err, Ok, Registry, durable_step, run_tasks, run_with_retries
+from tallyfold.operators.tasks import (
+    Err, Ok, Registry, durable_step, run_due, run_tasks, run_with_retries,
+)
 from tallyfold.operators.tasks import task as registered
 from tallyfold.queries.views import read
 from tallyfold.session import new_path, written
@@ -65,6 +70,52 @@ def durable_steps(spark, sf):
     )
 
 
+@registered(name="en", batch=True)
+def measure_many(rows):
+    """Counts the words of many texts at once; a text of over 1,000 words fails its batch."""
+    texts = rows.params.str.removeprefix('{"text":"')
+    words = texts.str.count(" ") + 1
+    if (words > 1000).any():
+        raise ValueError("too many words")
+    return words.astype(str)
+
+
+@registered(name="de", batch=True)
+def lengths(rows):
+    return pd.Series(rows.params.str.len() > 500).map({True: "true", False: "false"})
+
+
+def batch_tasks(spark, sf):
+    cores = spark.sparkContext.defaultParallelism
+    registry = Registry([measure_many, lengths], QUEUE)
+    done = written(run_tasks(_runs(spark, sf), registry, partitions=cores), "batches")
+    return done.select("task_id", "state", "result", "failure.name", "failure.message")
+
+
+START = datetime(2024, 1, 1)
+
+
+def due_tasks(spark, sf):
+    """The same tasks at four times: retries wait for their delays, late starts are cancelled."""
+    waits = Registry(
+        [
+            registered(name="en", max_attempts=3, retry=("fixed", 60.0, None, None))(measure.run),
+            registered(name="de", max_delay_s=50, retry=("exponential", 400.0, 2.0, None))(strict.run),
+        ],
+        QUEUE,
+    )
+    age = F.col("task_id").cast("long") % 100
+    runs = _runs(spark, sf).drop("attempt").withColumn(
+        "spawned_at", F.lit(START).cast("timestamp") - F.make_dt_interval(secs=age.cast("decimal(18,6)"))
+    )
+    store, cores = new_path(spark, "due"), spark.sparkContext.defaultParallelism
+    for seconds in (0, 30, 60, 600):
+        done = run_due(runs, waits, store, START + timedelta(seconds=seconds), partitions=cores)
+    return done.select(
+        "task_id", "attempt", "state", "result", F.col("wake_at").cast("timestamp_ntz").alias("wake_at")
+    )
+
+
 def _doubled(context, execute):
     """A wrapper around every execution: numbers come back doubled."""
     outcome = execute()
@@ -83,6 +134,34 @@ ATTEMPT_SQL = f"""SELECT CAST(doc_id AS VARCHAR) AS task_id, lang, {WORDS} AS wo
     length(text) AS chars FROM documents"""
 
 QUERIES = {
+    "run_batch_tasks": (
+        batch_tasks,
+        f"""SELECT task_id, CASE WHEN lang NOT IN ('en', 'de') THEN 'deferred'
+                   WHEN lang = 'en' AND words > 1000 THEN 'failed' ELSE 'completed' END AS state,
+              CASE WHEN lang = 'en' AND words <= 1000 THEN CAST(words AS VARCHAR)
+                   WHEN lang = 'de' THEN CAST(length(params) > 500 AS VARCHAR) END AS result,
+              CASE WHEN lang = 'en' AND words > 1000 THEN 'ValueError' END AS name,
+              CASE WHEN lang = 'en' AND words > 1000 THEN 'too many words' END AS message
+            FROM (SELECT *, CAST(json_object('text', text) AS VARCHAR) AS params
+                  FROM (SELECT CAST(doc_id AS VARCHAR) AS task_id, lang, {WORDS} AS words, text
+                        FROM documents))""",
+    ),
+    "run_due_tasks": (
+        due_tasks,
+        f"""SELECT task_id, CAST(CASE WHEN lang NOT IN ('en', 'de') THEN 0
+                   WHEN lang = 'en' AND words > 300 THEN 3
+                   WHEN lang = 'de' AND NOT over AND chars > 500 THEN 2 ELSE 1 END AS INTEGER) AS attempt,
+              CASE WHEN lang NOT IN ('en', 'de') THEN 'deferred'
+                   WHEN lang = 'de' AND over THEN 'cancelled'
+                   WHEN lang = 'en' AND words > 1000 THEN 'failed'
+                   WHEN lang = 'de' AND chars > 500 THEN 'sleeping' ELSE 'completed' END AS state,
+              CASE WHEN lang = 'en' AND words <= 1000 THEN concat('{{"words": ', words, '}}')
+                   WHEN lang = 'de' AND NOT over AND chars <= 500
+                   THEN CAST(chars AS VARCHAR) END AS result,
+              CASE WHEN lang = 'de' AND NOT over AND chars > 500
+                   THEN TIMESTAMP '2024-01-01 00:23:20' END AS wake_at
+            FROM (SELECT *, CAST(task_id AS BIGINT) % 100 >= 50 AS over FROM ({ATTEMPT_SQL}))""",
+    ),
     "run_tasks": (
         tasks_run_once,
         f"""SELECT task_id, CASE WHEN lang NOT IN ('en', 'de') THEN 'deferred'

@@ -51,6 +51,16 @@ TRANSITIONS = struct(
     "task_name string, op string, ts timestamp, seq long, payload string, "
     "wake_at timestamp, lease_s long, event_name string"
 )
+#: Transitions with what a spawn row says about its task.
+HISTORY = T.StructType(
+    [
+        *TRANSITIONS.fields,
+        T.StructField("headers", _TYPES["map"]),
+        T.StructField("retry_strategy", RETRY_STRATEGY),
+        T.StructField("max_delay_s", T.LongType()),
+        T.StructField("max_duration_s", T.LongType()),
+    ]
+)
 CHECKPOINTS = struct(
     "task_id string, checkpoint_name string, state string, status string, "
     "owner_run_id string, updated_at timestamp"
@@ -75,6 +85,7 @@ TABLES = {
     "requests": REQUESTS,
     "tasks": TASKS,
     "transitions": TRANSITIONS,
+    "history": HISTORY,
     "checkpoints": CHECKPOINTS,
     "events": EVENTS,
     "waits": WAITS,
