@@ -3,7 +3,7 @@
 The tree is built level by level and stored as node rows that point to their parents. Checking a
 leaf is then a ``WITH RECURSIVE`` query: it follows the parent links, appends the siblings on the
 way and folds the hash that the leaf has now. Leaves of one run share all nodes above it, so a
-climbing row holds the hashes of the whole run and the siblings they have in common.
+climbing row holds the hashes of the whole run and the siblings they have in common, as bytes.
 """
 
 from __future__ import annotations
@@ -26,11 +26,11 @@ TOP = -1
 
 CLIMB = """
 WITH RECURSIVE climb(unit, node, copy, folds, siblings, subroot) AS (
-  SELECT unit, node, 0L, folds, '', CAST(NULL AS STRING) FROM {units}
+  SELECT unit, node, 0L, folds, X'', CAST(NULL AS STRING) FROM {units}
   UNION ALL
   SELECT c.unit, l.parent, pmod(xxhash64(c.unit), l.parent_copies),
-         transform(c.folds, f -> sha2(concat(l.left, f, l.right), 256)),
-         concat(c.siblings, l.left, l.right), coalesce(c.subroot, l.subroot)
+         transform(c.folds, f -> unhex(sha2(concat(l.left, lower(hex(f)), l.right), 256))),
+         concat(c.siblings, unhex(l.left), unhex(l.right)), coalesce(c.subroot, l.subroot)
   FROM climb c JOIN {links} l ON c.node = l.node AND c.copy = l.copy
 )
 SELECT unit, folds, siblings, subroot FROM climb WHERE node = {top}
@@ -210,7 +210,7 @@ def build(
             F.col("run").alias("idx"),
             node.alias("node"),
             F.when(lone, F.col("digests")).otherwise(digest(F.col("digests"))).alias("hash"),
-            F.transform("leaves", start).alias("folds"),
+            F.transform("leaves", lambda e: F.unhex(start(e))).alias("folds"),
             "leaves",
             F.when(~lone, F.col("digests")).otherwise("").alias("siblings"),
         ).withColumnRenamed("siblings", "digests"),
@@ -254,7 +254,7 @@ def climb(spark: SparkSession, manifest: Manifest) -> DataFrame:
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     if manifest.links is None:
         return manifest.units.select(
-            "unit", "folds", F.lit("").alias("siblings"), F.lit(None).cast("string").alias("subroot")
+            "unit", "folds", F.lit(b"").alias("siblings"), F.lit(None).cast("string").alias("subroot")
         )
     return spark.sql(CLIMB, units=manifest.units, links=manifest.links, top=manifest.top)
 
@@ -282,13 +282,14 @@ def verify(
     )
     left, right = _around(F.col("digests"), F.col("own.place"))
     root = F.lit(manifest.root).cast("string")
-    folded = F.get("folds", F.col("at"))
+    folded = F.lower(F.hex(F.get("folds", F.col("at"))))
+    above = F.lower(F.hex("siblings"))
     return each.select(
         F.col("own.id").alias("id"),
         F.col("own.leaf").alias("leaf"),
         F.coalesce("subroot", root).alias("subroot"),
         root.alias("root"),
-        digest(left, right, F.col("siblings")).alias("proof_sha256"),
+        digest(left, right, above).alias("proof_sha256"),
         folded.alias("folded_root"),
         (folded == root).alias("verified"),
     )
