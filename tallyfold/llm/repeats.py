@@ -14,7 +14,6 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,14 +154,17 @@ def items(texts: DataFrame, length: int) -> DataFrame:
 
 
 def counted(rows: DataFrame, weight) -> DataFrame:
-    """Per (h, d): ``n`` places, and per h ``kinds`` of passages and ``singles`` among them."""
+    """Per (h, d): ``n`` places, and per h ``kinds`` of passages and ``singles`` among them.
+
+    Written before it is joined: only between two plain shuffles does Spark split a hot key.
+    """
     kinds = rows.groupBy("h", "d").agg(F.sum(weight).alias("n"))
     kinds = written(kinds, "kinds")
     anchors = kinds.groupBy("h").agg(
         F.count(F.lit(1)).alias("kinds"),
         F.sum((F.col("n") == 1).cast("long")).alias("singles"),
     )
-    return kinds.join(anchors, "h").filter("kinds > 1 OR n > 1")
+    return kinds.join(written(anchors, "anchors"), "h").filter("kinds > 1 OR n > 1")
 
 
 def searched(passages: DataFrame, length: int) -> DataFrame:
@@ -229,7 +231,7 @@ def repeated(docs: DataFrame, texts: DataFrame, length: int, id_column: str, col
     whole = written(items(own.select(*TEXT, "bytes"), length), "anchors")
     place = F.xxhash64(*TEXT, "s")
     shared = whole.groupBy("h").agg(F.min(place).alias("a1"), F.max(place).alias("a2"))
-    shared = shared.filter("a1 <> a2").select("h")
+    shared = written(shared.filter("a1 <> a2").select("h"), "shared")
     suspects = written(whole.join(shared, "h", "left_semi").distinct(), "suspects")
     known = written(counted(suspects, F.lit(1)), "known")
     suspects = written(suspects.join(known, ["h", "d"]), "suspects")
@@ -275,7 +277,7 @@ def repeated(docs: DataFrame, texts: DataFrame, length: int, id_column: str, col
     while not hot.isEmpty():
         parts = written(split_blocks(hot, length), "blocks")
         # A passage that was found elsewhere stands for two places.
-        known = counted(parts, F.when(F.col("own"), 1).otherwise(2))
+        known = written(counted(parts, F.when(F.col("own"), 1).otherwise(2)), "known")
         parts = written(parts.join(known, ["h", "d"]), "blocks")
         heads = F.octet_length("passage") - length + 1
         spans.append(
