@@ -46,6 +46,7 @@ def features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         _without(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
         _without(F.col("t"), CAPITALS).cast("long").alias("n_capitals"),
         _without(F.col("t"), "!?").cast("long").alias("n_calls"),
+        F.md5(F.col("t").cast("binary")).alias("text_md5"),
         lines.alias("lines"),
         F.transform("w", lambda x: F.xxhash64(x)).alias("h"),
     )
@@ -61,6 +62,7 @@ def features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     ).otherwise(F.array().cast("array<struct<k:bigint,i:int>>"))
     sorted_windows = hashed.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_capitals", "n_calls",
+        "text_md5",
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.sort_array(window).alias("s"),
@@ -143,10 +145,26 @@ def binomial_at_most(k: Column, n: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.exp(peak) * total)
 
 
+def distinct_documents(rows: DataFrame) -> DataFrame:
+    """One row of ``features`` per id and per text, since copies are no further evidence.
+
+    Of an id with several texts the one with the least checksum stands, of a text under
+    several ids the least id; neither choice depends on what the rules measure.
+    """
+    def least(key: str, by: str) -> DataFrame:
+        names = [c for c in kept.columns if c != key]
+        return kept.groupBy(key).agg(F.min_by(F.struct(*names), by).alias("x")).select(key, "x.*")
+
+    kept = rows
+    kept = least("doc_id", "text_md5")
+    return least("text_md5", "doc_id")
+
+
 def certified_cutoffs(good: DataFrame, risk: float = 0.02, error: float = 0.05) -> DataFrame:
     """``stratum, cutoff, n, k``: the lowest severity of each stratum that is proven safe.
 
-    ``good`` are the features of documents labelled good that pass the base rule. A document is
+    ``good`` are the features of documents labelled good that pass the base rule; repeated rows
+    count once, by ``distinct_documents``. A document is
     rejected when any rule's severity is above the cutoff, so the ``k`` rejected among the
     ``n`` good ones of a stratum test all rules together. A cutoff is safe if the exact
     binomial probability of at most ``k`` rejections, were the true share of false rejections
@@ -158,7 +176,7 @@ def certified_cutoffs(good: DataFrame, risk: float = 0.02, error: float = 0.05)
     """
     level = error / (len(STRATA) + 1)
     worst = F.greatest(*severities().values())
-    counts = good.groupBy(stratum().alias("stratum")).agg(
+    counts = distinct_documents(good).groupBy(stratum().alias("stratum")).agg(
         F.count("*").alias("n"),
         F.array(*(F.sum((worst > cutoff).cast("long")) for cutoff in GRID)).alias("ks"),
     )
@@ -184,7 +202,7 @@ def judge(
     ``labels`` has ``doc_id, quality``; a document with several labels counts as good only if
     all are 1, and null labels or ids count as none. ``failed`` lists the certified rules that
     a document broke. Null and empty texts have no words and fail the base rule. Repeated rows
-    are judged alike; an empty table gives no rows.
+    are judged alike and certify as one document; an empty table gives no rows.
     """
     found = written(features(docs, doc_id, text), "rule-features")
     marks = (
@@ -208,4 +226,5 @@ def judge(
         .withColumn("base_failed", base_failed())
         .withColumn("failed", broken)
         .withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0))
+        .drop("text_md5")
     )

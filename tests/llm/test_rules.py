@@ -79,6 +79,19 @@ def test_cutoffs_reject_junk_and_keep_the_limit(spark):
     assert row.n == 600 and row.k <= 0.02 * row.n
 
 
+def test_repeated_rows_are_no_evidence(spark):
+    """Thirty good documents certify nothing, however often they or their texts repeat."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(60))) for i in range(30)]
+    wild = [(100 + i, " ".join(f"v{i}x{j}###" for j in range(60))) for i in range(20)]
+    again = rows * 20 + [(1000 + n, rows[n % 30][1]) for n in range(600)] + wild
+    docs = spark.createDataFrame(again, "doc_id long, text string")
+    good = [(i, 1) for i, _ in again if not 100 <= i < 120]
+    labels = spark.createDataFrame(good, "doc_id long, quality int")
+    assert all(r.kept for r in rules.judge(docs, labels).collect())
+    twice = spark.createDataFrame([*rows, (0, rows[1][1] + " end")], "doc_id long, text string")
+    assert rules.distinct_documents(rules.features(twice)).count() == 30
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert rules.judge(docs, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
