@@ -15,18 +15,28 @@ def slotted(docs: DataFrame, doc_id: str, text: str, slots: int = SLOTS) -> Data
     """Size, checksum and virtual slot of every record.
 
     A record's slot is a hash of its id and the checksum of its text, so neither a hot source
-    nor records without an id meet in one slot. Null and empty texts have size 1 and checksum
+    nor records without an id meet in one slot. Records that repeat with the same id and text
+    are dealt over slots by a number that their place in the input gives; which of the
+    copies goes where means nothing. Null and empty texts have size 1 and checksum
     0. Only ``doc_id`` and ``text`` are read, so other columns cannot clash.
     """
     crc = F.coalesce(F.crc32(F.col(text).cast("binary")), F.lit(0).cast("long"))
-    return docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"),
-        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
-        crc.alias("text_crc32"),
-    ).withColumn(
-        "virtual_slot",
-        F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(slots)).cast("int"),
+    rows = written(
+        docs.select(
+            F.col(doc_id).cast("long").alias("doc_id"),
+            (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
+            crc.alias("text_crc32"),
+        ),
+        "sizes",
     )
+    same = ["doc_id", "text_crc32", "size"]
+    copies = written(rows.groupBy(same).agg(F.count("*").alias("n")).filter("n > 1"), "copies")
+    hit = [rows[c].eqNullSafe(copies[c]) for c in same]
+    place = F.pmod(F.monotonically_increasing_id(), F.coalesce(copies["n"], F.lit(1)))
+    spread = rows.join(copies, hit, "left").select(*[rows[c] for c in rows.columns], place.alias("place"))
+    return spread.withColumn(
+        "virtual_slot", F.pmod(F.xxhash64(*same, "place"), F.lit(slots)).cast("int")
+    ).drop("place")
 
 
 def slot_loads(slotted_docs: DataFrame, slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray]:

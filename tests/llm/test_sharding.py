@@ -30,6 +30,18 @@ def test_law_and_positions(spark):
     assert versions.groupBy("version").count().count() == 2
 
 
+def test_a_third_of_the_rows_equal(spark):
+    rows = [(i, "x" * (i % 400)) for i in range(20_000)]
+    rows += [(7, "same " * 40)] * 8_000 + [(None, None)] * 2_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    placed, _ = sharding.shard(docs.repartition(6), shards=16)
+    found = placed.groupBy("shard").agg({"size": "sum", "slot": "max", "*": "count"}).collect()
+    sizes = [r["sum(size)"] for r in found]
+    assert len(sizes) == 16 and sum(r["count(1)"] for r in found) == len(rows)
+    assert (max(sizes) - min(sizes)) / np.mean(sizes) < 0.01
+    assert all(r["max(slot)"] + 1 == r["count(1)"] for r in found)
+
+
 def test_rebalancing_edits_the_map():
     rng = np.random.default_rng(2)
     loads = rng.integers(50, 150, 4096)
