@@ -195,7 +195,7 @@ def _scorer(key: str, shared) -> Scorer:
 def sampled(labelled: DataFrame, rows: int) -> DataFrame:
     """About ``rows`` documents of each language (exactly all where there are fewer).
 
-    Chosen by a hash of the id. ``lang`` values with fewer than two documents, and those beyond
+    Chosen by a hash of id and text; repeated rows count once. ``lang`` values with fewer than two documents, and those beyond
     the ``MAX_LANGS`` most frequent, are left out.
     """
     frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
@@ -203,8 +203,9 @@ def sampled(labelled: DataFrame, rows: int) -> DataFrame:
     share = F.lit(0.0)
     for lang, n in sorted(counts.items()):
         share = F.when(F.col("lang") == lang, min(1.0, rows / n) if n > 1 else 0.0).otherwise(share)
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.withColumn("draw", draw).filter(F.col("draw") < share).drop("draw")
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    chosen = labelled.withColumn("draw", draw).filter(F.col("draw") < share).drop("draw")
+    return chosen.dropDuplicates(["doc_id", "text", "lang"])
 
 
 def fitted(
