@@ -30,7 +30,7 @@ def test_base_scores(spark, monkeypatch, top):
     monkeypatch.setattr(lm, "ROUNDS", 1)
     rows = corpus()
     docs = spark.createDataFrame([(*r, 0.0, 1) for r in rows], "doc_id long, text string, score double, n int")
-    found = lm.score(docs.repartition(4), vocabulary_path(), windows=200, top_words=top).collect()
+    found = lm.score(docs.repartition(4), vocabulary_path(), share=0.5, least_texts=20, top_words=top).collect()
     assert len(found) == len(rows)
     counts = Counter()
     for i, t in rows:
@@ -50,7 +50,7 @@ def test_base_scores(spark, monkeypatch, top):
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert lm.score(docs, vocabulary_path(), windows=10).count() == 0
+    assert lm.score(docs, vocabulary_path()).count() == 0
 
 
 def model_and_codes(size=600):
@@ -59,7 +59,9 @@ def model_and_codes(size=600):
     windows = rng.integers(0, size, (50, lm.WINDOW + 1))
     model = lm.Attention(1)
     model.parts["bias"] = rng.normal(size=lm.GROUPS).astype(np.float32)
-    return lm.coded(counts, windows), model, rng
+    table = np.zeros((size, lm.CONTEXTS))
+    np.add.at(table, (windows[:, 1:], lm.contexts(counts)[windows[:, :-1]]), 1)
+    return lm.coded(counts, table), model, rng
 
 
 def test_classes_share_all_probability():
@@ -94,13 +96,14 @@ def test_gradients_are_those_of_the_loss():
     for name in model.parts:
         model.parts[name] = model.parts[name].astype(np.float64)
     rows, classes = rng.integers(0, lm.INPUTS, (3, lm.WINDOW)), rng.integers(0, lm.CLASSES, (3, lm.WINDOW))
-    _, down = model.gradients(rows, classes)
+    real = np.arange(lm.WINDOW) < np.array([[lm.WINDOW], [5], [1]])
+    _, down = model.gradients(rows, classes, real)
     for name, weights in model.parts.items():
         at = np.unravel_index(np.abs(down[name]).argmax(), weights.shape)
         weights[at] += 1e-4
-        high, _ = model.gradients(rows, classes)
+        high, _ = model.gradients(rows, classes, real)
         weights[at] -= 2e-4
-        low, _ = model.gradients(rows, classes)
+        low, _ = model.gradients(rows, classes, real)
         weights[at] += 1e-4
         assert math.isclose((high - low) / 2e-4, down[name][at], rel_tol=2e-2), name
 
@@ -108,5 +111,51 @@ def test_gradients_are_those_of_the_loss():
 def test_training_learns():
     codes, model, rng = model_and_codes()
     rows = np.tile(rng.integers(0, 30, 16), (200, 5))[:, : lm.WINDOW + 1]
-    losses = model.train(rows[:, :-1], rows[:, 1:], rounds=60)
+    batch = rows[:, :-1], rows[:, 1:], np.ones((200, lm.WINDOW))
+    losses = [model.learn([batch] * 30, lambda n: 0)[0] for _ in range(3)]
     assert losses[-1] < 0.5 * losses[0]
+
+
+def test_windows_cover_whole_texts(spark):
+    """Every id of a chosen text is a target once, short texts and last windows included."""
+    coder = lm.subwords(vocabulary_path())
+    texts = ["", "a", "river stone " * 200, *(f"w{i} " * i for i in range(1, 80))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = lm.training_windows(docs.repartition(3), len(texts), vocabulary_path(), 1.0, 0).collect()
+    found, wanted = Counter(), Counter()
+    for r in rows:
+        assert len(r.ids) == lm.WINDOW + 1 and 0 < r.real <= lm.WINDOW
+        found.update(zip(r.ids[: r.real], r.ids[1 : r.real + 1]))
+    for text in texts:
+        ids = [coder.end, *coder.ids(lm.text_words(text)).tolist()]
+        wanted.update(zip(ids, ids[1:]))
+    assert found == wanted
+    half = lm.training_windows(docs, len(texts), vocabulary_path(), 0.5, 0).count()
+    assert 0 < half < len(rows)
+
+
+def test_neighbours_of_ids_outside_the_windows(spark):
+    coder = lm.subwords(vocabulary_path())
+    ids = coder.ids([b"unbelievableness"])
+    docs = spark.createDataFrame([(1, "of of")], "doc_id long, text string")
+    words = spark.createDataFrame([("of", 2), ("unbelievableness", 7)], "word string, n long")
+    counts = lm.subword_counts(words, vocabulary_path(), coder.end + 1)
+    windows = lm.training_windows(docs, 1, vocabulary_path(), 1.0, 0)
+    found = lm.neighbour_counts(windows, words, counts, vocabulary_path())
+    context = lm.contexts(counts)
+    assert len(ids) > 2
+    for before, after in zip(ids[:-2], ids[1:-1]):
+        assert found[after, context[before]] >= 7
+    assert found[ids[0]].sum() == 0
+
+
+def test_tasks_train_one_model(spark, monkeypatch):
+    """The averaged model of many shards beats the base counts of its own classes."""
+    monkeypatch.setattr(lm, "SHARD_WINDOWS", 200)
+    rng = random.Random(3)
+    lines = ["the river moved the stone", "a green hill across the water", "stones of the old river"]
+    rows = [(i, " ".join(rng.choice(lines) for _ in range(40))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lm.score(docs.repartition(4), vocabulary_path()).filter("held_out").collect()
+    assert len(found) > 30
+    assert np.mean([r.score - r.base_score for r in found]) > 20
