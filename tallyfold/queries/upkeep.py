@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators import retention
 from tallyfold.queries.views import RETENTION_NOW, sql, view
+from tallyfold.session import new_path
+from tallyfold.sources.tables import drop_stored_queues, read_history, remove_rows, write_history
 
 AT_NOW = f"TIMESTAMP '{RETENTION_NOW}'"
 TTL_DAYS = 400
@@ -101,6 +103,24 @@ def _partitions(spark, sf):
     return rows.select("queue", F.to_date("ended_at").alias("day"))
 
 
+EVENT_KEY = ["queue", "event_name", "seq"]
+
+
+def removed_events(spark, sf):
+    """Store the shipments by queue, delete the old ones of two queues there, drop a third queue."""
+    path = new_path(spark, "shipments")
+    rows = view(spark, sf, "shipments").withColumns(
+        {"emitted_at": F.col("emitted_at").cast("timestamp"), "payload": F.lit(None).cast("string")}
+    )
+    write_history(rows, path, day_of="emitted_at")
+    old = doomed_events(spark, sf).where("queue < '3'")
+    remove_rows(spark, path, "events", old, EVENT_KEY)
+    dropped = rows.select("queue").where("queue > '5'").distinct()
+    drop_stored_queues(spark, path, "events", dropped)
+    at = F.col("emitted_at").cast("timestamp_ntz")
+    return read_history(spark, path, "events").select(*EVENT_KEY, at.alias("emitted_at"))
+
+
 def partition_plan(spark, sf):
     return retention.partition_plan(view(spark, sf, "policies"), now(), _partitions(spark, sf))
 
@@ -163,6 +183,21 @@ QUERIES = {
             **RULES,
         ),
     ),
+    "removed_events": (
+        removed_events,
+        sql(
+            "shipments",
+            body=""", doomed AS (
+                SELECT *, row_number() OVER (PARTITION BY queue
+                          ORDER BY emitted_at, event_name, seq) AS place
+                FROM shipments WHERE emitted_at < $now - INTERVAL $ttl DAY
+                QUALIFY place <= $limit)
+              SELECT queue, event_name, seq, emitted_at FROM shipments s
+              ANTI JOIN (SELECT * FROM doomed WHERE queue < '3') d USING (queue, event_name, seq)
+              WHERE queue <= '5'""",
+            **RULES,
+        ),
+    ),
     "cleanup_by_policy": (
         doomed_by_policy,
         sql(
