@@ -4,12 +4,14 @@ A plain window sorts each group in one task, which breaks when one task, queue o
 holds a third of the table. Here a group longer than ``rows_per_segment`` is cut into
 ordered segments; every segment is a window group of its own, and a small table with one
 row per segment carries running totals and edge values from one segment to the next.
-Tables without such a group keep the plain window plan.
+Tables without such a group keep the plain window plan. Where the whole table is one group,
+Spark's range partitioning cuts the segments, and the rest is the same.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,6 +88,18 @@ def _assign_segments(
     return placed.join(fine, hit, "left").select(*[placed[c] for c in df.columns], segment)
 
 
+def _range_segments(df: DataFrame, order: list[str], rows_per_segment: int) -> DataFrame:
+    """``df`` as one group whose segments are the partitions of a range exchange.
+
+    The input is written once, so that its row count and the exchange's own sample do not
+    compute it again; the numbered rows are written since another run may cut elsewhere.
+    """
+    held = written(df, "ranged-input")
+    parts = max(ceil(held.count() / rows_per_segment), 1)
+    cut = held.repartitionByRange(parts, *order)
+    return written(cut.withColumn("_segment", F.spark_partition_id()), "range-segments")
+
+
 def windowed(
     df: DataFrame,
     keys: list[str],
@@ -102,14 +116,16 @@ def windowed(
     ``lasts`` are the last values before the row that are not null.
 
     ``order`` must identify a row within its group; ascending. An empty ``keys`` treats
-    the whole table as one group.
+    the whole table as one group, with the same plan at any size.
     """
     sums, lags, leads, lasts = sums or {}, lags or {}, leads or {}, lasts or {}
-    bounds = written(segment_bounds(df, keys, order, rows_per_segment), "segment-bounds")
-    if bounds.isEmpty():
-        return _local(df, Window.partitionBy(*keys).orderBy(*order), sums, lags, leads, lasts)
-
-    cut = _assign_segments(df, bounds, keys, order)
+    if keys:
+        bounds = written(segment_bounds(df, keys, order, rows_per_segment), "segment-bounds")
+        if bounds.isEmpty():
+            return _local(df, Window.partitionBy(*keys).orderBy(*order), sums, lags, leads, lasts)
+        cut = _assign_segments(df, bounds, keys, order)
+    else:
+        cut = _range_segments(df, order, rows_per_segment)
     groups = [*keys, "_segment"]
     within = Window.partitionBy(*groups).orderBy(*order)
     rows = _local(cut, within, sums, lags, leads, lasts)
@@ -124,9 +140,10 @@ def windowed(
         *[F.min_by(e, at).alias(f"_start_{n}") for n, e in leads.items()],
         *[F.max_by(e, F.when(e.isNotNull(), at)).alias(f"_last_{n}") for n, e in lasts.items()],
     )
-    # Only groups with cuts need a carry, so the carry has about one row per segment.
-    long_groups = bounds.select(*keys).distinct()
-    totals = totals.join(long_groups, _same(totals, long_groups, keys), "left_semi")
+    if keys:
+        # Only groups with cuts need a carry, so the carry has about one row per segment.
+        long_groups = bounds.select(*keys).distinct()
+        totals = totals.join(long_groups, _same(totals, long_groups, keys), "left_semi")
     chain = Window.partitionBy(*keys).orderBy("_segment")
     before = chain.rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(

@@ -51,6 +51,25 @@ def test_windowed_equals_plain_window(spark, keys, size, ties):
     assert _rows(ours) == _rows(plain)
 
 
+@pytest.mark.parametrize("rows", [0, 1, 3000])
+def test_one_group_has_one_plan_without_a_nested_loop(spark, rows):
+    df = _skewed(spark, rows=rows, ties=True)
+    ours = windowed(
+        df, [], ["ts", "seq"], sums={"n": F.lit(1)}, lasts={"ok": F.col("v")}, rows_per_segment=50
+    )
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "spark_partition_id" not in plan  # numbered once, in a written table
+    order = Window.orderBy("ts", "seq")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    plain = df.select(
+        "*",
+        F.count(F.lit(1)).over(order).alias("n"),
+        F.last("v", True).over(before).alias("ok"),
+    )
+    assert _rows(ours) == _rows(plain)
+
+
 def test_long_groups_are_cut_and_short_ones_are_not(spark):
     df = _skewed(spark)
     bounds = segment_bounds(df, ["key"], ["ts", "seq"], 200)
