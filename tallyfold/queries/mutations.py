@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyfold import schemas as S
 from tallyfold.operators import writes
 from tallyfold.queries.history import fold_sql, now, snapshot
 from tallyfold.queries.views import NOW, VIEWS, sql, view
 from tallyfold.session import new_path
+from tallyfold.sources.keys import KeyTable
 from tallyfold.sources.tables import read_history, write_history
 
 AT_NOW = f"TIMESTAMP '{NOW}'"
@@ -70,16 +72,36 @@ def extended(spark, sf):
     return writes.extend_lease(_state(spark, sf), requests).select(*SHOWN)
 
 
-def checkpointed(spark, sf):
-    requests = _requests(spark, sf, "view").select(
+def _checkpoint_requests(spark, sf):
+    return _requests(spark, sf, "view").select(
         "*",
         F.concat(F.lit("view-"), (F.col("seq") % 20).cast("string")).alias("checkpoint_name"),
         F.col("milliseconds").alias("lease_ms"),
     )
+
+
+def checkpointed(spark, sf):
     done = view(spark, sf, "checkpoints").where(F.col("updated_at") <= now())
+    requests = _checkpoint_requests(spark, sf)
     return writes.write_checkpoints(_state(spark, sf), requests, done).select(*SHOWN)
 
 
+def checkpointed_by_key(spark, sf):
+    """The same, with the committed checkpoints found in a bucketed table of three batches."""
+    done = view(spark, sf, "checkpoints").where(F.col("updated_at") <= now())
+    steps = done.where(F.col("status") == "committed").select("task_id", "checkpoint_name").distinct()
+    schema = S.struct("task_id string, checkpoint_name string, status string")
+    stored = steps.withColumn("status", F.lit("committed"))
+    table = KeyTable(
+        spark, new_path(spark, "committed"), schema, ["task_id", "checkpoint_name"], buckets=16
+    )
+    for part in range(3):
+        table.append(stored.where(F.pmod(F.xxhash64("checkpoint_name"), F.lit(3)) == part), part)
+    requests = _checkpoint_requests(spark, sf)
+    found = table.find(requests, 2)
+    return writes.write_checkpoints(_state(spark, sf), requests, found).select(*SHOWN)
+
+
 def cancelled(spark, sf):
     return writes.cancel(_state(spark, sf), _requests(spark, sf, "error")).select(*SHOWN)
 
@@ -242,6 +264,19 @@ QUERIES = {
             refused="refused",
         ),
     ),
+    "checkpoints_by_key": (
+        checkpointed_by_key,
+        _write_sql(
+            "checkpoint",
+            "view",
+            once=False,
+            payload="payload",
+            lease=UP,
+            event="checkpoint_name",
+            source=NEW_CHECKPOINTS,
+            refused="refused",
+        ),
+    ),
     "cancel_tasks": (cancelled, _write_sql("cancel", "error", running=False)),
     "claim_runs": (
         claimed,

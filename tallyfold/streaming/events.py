@@ -9,10 +9,11 @@ from tallyfold import schemas as S
 from tallyfold.operators.fold import TASK, accumulate, merge, show
 from tallyfold.operators.history import is_terminal
 from tallyfold.operators.writes import submit
-from tallyfold.session import read_or_empty
+from tallyfold.plans.ranges import covering
+from tallyfold.session import read_or_empty, written
+from tallyfold.sources.keys import KeyTable
 from tallyfold.streaming.state import (
     batch_before,
-    batches_before,
     cached_batch,
     clock_span,
     write_batch,
@@ -76,10 +77,12 @@ def span_metrics(spans: DataFrame, width: str = "1 hour", late: str = "10 minute
     )
 
 
-def submit_batches(store: str):
+def submit_batches(store: str, buckets: int = 16):
     """A ``foreachBatch`` function that spawns idempotently and keeps the tasks in ``store``.
 
-    Every batch writes its own folder, so a batch that runs again replaces its own rows.
+    Every batch writes its own folder, so a batch that runs again replaces its own rows. The
+    keys that earlier batches took lie in a bucketed table below ``store``: a batch looks up
+    its own keys only, and shuffles none of the stored ones.
     """
     schema = S.struct(
         "request_id string, queue string, idempotency_key string, task_id string, "
@@ -88,27 +91,17 @@ def submit_batches(store: str):
 
     @cached_batch
     def run(batch: DataFrame, batch_id: int) -> None:
-        known = batches_before(batch.sparkSession, store, schema, batch_id)
+        key = ["queue", "idempotency_key"]
+        taken = KeyTable(batch.sparkSession, f"{store}/_keys", schema, key, buckets)
+        known = written(taken.find(batch, batch_id - 1), "taken-keys")
         spawned = submit(known, batch)
         write_batch(spawned.where("created").select(*schema.names), store, batch_id)
+        own = batch.sparkSession.read.schema(schema).parquet(f"{store}/batch={batch_id}")
+        taken.append(own, batch_id)
 
     return run
 
 
-def _covering(batch_id: int) -> list[tuple[int, int]]:
-    """The folders that together hold batches 0 to ``batch_id``: (first, last) ranges, in order.
-
-    The ranges are those of a binary counter: few, and each batch is merged again only as often
-    as the counter carries.
-    """
-    ranges, end = [], batch_id + 1
-    while end > 0:
-        size = end & -end
-        ranges.append((end - size, end - 1))
-        end -= size
-    return ranges[::-1]
-
-
 def _folder(store: str, first: int, last: int) -> str:
     return f"{store}/folded/last={last}/first={first}"
 
@@ -141,9 +134,9 @@ def snapshot_batches(store: str, late_s: int = 600, details: bool = False):
         rows = waiting.unionByName(new.where(F.col("ts") > before))
         write_batch(rows.where(F.col("ts") > now), f"{store}/recent", batch_id)
         own = accumulate(rows.where(F.col("ts") <= now), details)
-        first, last = _covering(batch_id)[-1]
+        first, last = covering(batch_id)[-1]
         # The part before this batch that the new folder replaces.
-        parts = [r for r in _covering(batch_id - 1) if r[0] >= first]
+        parts = [r for r in covering(batch_id - 1) if r[0] >= first]
         if parts:
             own = merge(_folded(spark, store, parts, details), own)
         own.write.mode("overwrite").parquet(_folder(store, first, last))
@@ -156,7 +149,7 @@ def latest_snapshot(
 ) -> DataFrame:
     """The folded state after one batch, rows that still wait for the clock included."""
     recent = read_or_empty(spark, f"{store}/recent/batch={batch_id}", S.TRANSITIONS)
-    settled = _folded(spark, store, _covering(batch_id), details)
+    settled = _folded(spark, store, covering(batch_id), details)
     return show(merge(settled, accumulate(recent, details)), details)
 
 

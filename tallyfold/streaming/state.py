@@ -33,14 +33,6 @@ def cached_batch(run):
     return cached
 
 
-def batches_before(
-    spark: SparkSession, path: str, schema: T.StructType, batch_id: int
-) -> DataFrame:
-    """All rows that batches before ``batch_id`` appended."""
-    labelled = S.copy_of(schema).add("batch", "long")
-    return read_or_empty(spark, path, labelled).where(F.col("batch") < batch_id).drop("batch")
-
-
 def batch_before(spark: SparkSession, path: str, batch_id: int, schema: T.StructType, *parts: str) -> DataFrame:
     """What the batch before wrote below ``path``; only the first batch has none.
 
