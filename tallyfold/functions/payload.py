@@ -13,6 +13,16 @@ def is_json(text: Column) -> Column:
     return text.isNull() | F.try_parse_json(text).isNotNull()
 
 
+def field(value: Column, path: str, kind: str) -> Column:
+    """The value at ``path`` of a variant; null where it is absent or does not fit the type."""
+    return F.try_variant_get(value, path, kind)
+
+
+def kind_of(value: Column) -> Column:
+    """Type of a variant without what lies inside: ``OBJECT``, ``ARRAY``, ``BIGINT``, ``VOID``..."""
+    return F.regexp_extract(F.schema_of_variant(value), r"^\w+", 0)
+
+
 def put_header(headers: Column, key: str, value: Column) -> Column:
     """``headers`` with one entry set; the new value replaces an old one."""
     empty = F.create_map().cast("map<string,string>")
