@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from tallyfold import schemas as S
 from tallyfold.functions.timing import seconds_interval
 from tallyfold.operators.history import is_terminal
 from tallyfold.plans import top_per_group
+from tallyfold.plans.topk import SALTED_MOST
 from tallyfold.session import written
 
 
@@ -68,7 +71,11 @@ def cleanup_all(
     now: Column,
     queue: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Tasks and events to delete under each queue's own ttl and limit."""
+    """Tasks and events to delete under each queue's own ttl and limit.
+
+    Queues with a limit above ``SALTED_MOST`` are ranked on their own, so that one of them
+    does not change how the others are cut.
+    """
     chosen = policies if queue is None else policies.where(F.col("queue") == queue)
     rules = chosen.where(F.col("cleanup_ttl").isNotNull()).select(
         "queue",
@@ -76,12 +83,20 @@ def cleanup_all(
         F.coalesce("cleanup_limit", F.lit(S.DEFAULT_CLEANUP_LIMIT)).alias("_limit"),
     )
     rules = written(rules, "rules")  # its size decides the join, and the histories stay put
-    largest = rules.agg(F.max("_limit")).first()[0] or 0
+    large = F.col("_limit") > SALTED_MOST
+    most = rules.agg(
+        F.max(F.when(~large, F.col("_limit"))), F.max(F.when(large, F.col("_limit")))
+    ).first()
+    groups = [(rules.where(~large), most[0] or 0)]
+    if most[1] is not None:
+        groups.append((rules.where(large), most[1]))
 
     def oldest(rows: DataFrame, at: str, order: list[str]) -> DataFrame:
-        old = rows.join(rules, "queue").where(F.col(at) < F.col("_cutoff"))
-        ranked = top_per_group(old, ["queue"], order, largest, rank="place")
-        return ranked.where(F.col("place") <= F.col("_limit")).drop("_cutoff", "_limit")
+        found = []
+        for some, limit in groups:
+            old = rows.join(some, "queue").where(F.col(at) < F.col("_cutoff"))
+            found.append(top_per_group(old, ["queue"], order, limit, "place", own="_limit"))
+        return reduce(DataFrame.unionByName, found).drop("_cutoff", "_limit")
 
     ended = snapshot.where(is_terminal(F.col("state")))
     return (
