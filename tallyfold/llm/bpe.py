@@ -217,16 +217,16 @@ class Transducer:
 class _Cache(dict):
     """Remembers the ids of words in two generations, so its memory is bounded."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int = CACHED):
         super().__init__()
-        self.encode, self.old = encode, {}
+        self.encode, self.old, self.most = encode, {}, most
 
     def __missing__(self, key: str) -> bytes:
         value = self.old.get(key)
         if value is None:
             value = self.encode(key)
         if len(key) <= LONG:
-            if len(self) >= CACHED:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[key] = value
