@@ -23,24 +23,31 @@ BAND = 1.5  # ratio of the sizes in a band
 HOT_LEAST, HOT_MOST = 64, 200_000  # documents that make a shingle common; most of those kept
 BLOCK_SETS, BLOCK_SHINGLES = 2000, 2_000_000  # a cluster beyond either is split into blocks
 LEAF, FAN = 16, 8  # sets in a leaf, children of a tree node
+CODE, SINGLE = np.uint64(127), np.uint64(64)  # bits of a key: band and kind; a single shingle's
+PAIRED = 64  # sets that share a key are paired, more are all linked with the smallest
+SORTED_ROWS = 200_000  # sorted keys that are grouped at a time
 
 
 class Routing:
-    """Keys of which two sets share at least one if their Jaccard similarity reaches p / q.
+    """Keys of which two sets share enough if their Jaccard similarity reaches p / q.
 
     Such sets differ in at most ``d = (n + m) * (q - p) / (q + p)`` shingles. The hash space
     is cut into ``k > d`` equal ranges; a differing shingle spoils one range, so at least
     ``k - d`` ranges hold exactly the same shingles in both sets, and a range's contents are
-    its key. Ranges that are empty, or hold only common shingles, are weak. With ``k = d + 1 +
-    spare`` ranges a set with at most ``spare`` weak ones always shares a range that is not
-    weak, so only sets with more weak ranges, which are few, also use those as keys. ``k``
-    depends on the band of the smaller size; a set joins the bands that its possible smaller
-    partners are in.
+    its key. Ranges that are empty, or hold only common shingles, are weak and no keys. With ``k =
+    most + 1 + spare`` ranges, ``most`` being the ``d`` of the largest sets of a band, a set with at
+    most ``spare`` weak ones shares at least ``most + 1 - d`` keys with any such set (``enough``).
+    Sets with more weak ranges, which are short or made of common shingles, also use their first
+    ``n - p / q * n + 1`` shingles, the rarest first, as keys: any two such sets share one of
+    these. ``k`` depends on the band of the smaller size; a set joins the bands that its
+    possible smaller partners are in. The low bits of a key are its band and whether it is
+    a single shingle.
     """
 
     def __init__(self, p: int, q: int):
         self.p, self.q = p, q
         self.plan = lru_cache(maxsize=None)(self._plan)
+        self.sizes = lru_cache(maxsize=None)(self._sizes)
 
     def __reduce__(self):
         return Routing, (self.p, self.q)
@@ -49,15 +56,19 @@ class Routing:
     def band(size: int) -> int:
         return int(math.log(size) / math.log(BAND) + 1e-9)
 
-    def _plan(self, band: int) -> tuple[int, int, np.ndarray]:
-        """Ranges, spare ranges and range starts of a band."""
+    def _sizes(self, band: int) -> tuple[int, int, int]:
+        """The least and largest size of a band, and the most that a pair of it differs in."""
         low = max(1, math.ceil(BAND**band - 1e-6))
         while self.band(low) < band:
             low += 1
         high = max(low, math.ceil(BAND ** (band + 1)))
         while high > low and self.band(high) > band:
             high -= 1
-        most = (high + high * self.q // self.p) * (self.q - self.p) // (self.q + self.p)
+        return low, high, (high + high * self.q // self.p) * (self.q - self.p) // (self.q + self.p)
+
+    def _plan(self, band: int) -> tuple[int, int, np.ndarray]:
+        """Ranges, spare ranges and range starts of a band."""
+        low, _, most = self.sizes(band)
         ranges, spare = most + 1, 0
         for tried in range(most + 1, 2 * most + 2):
             empty = math.exp(-low / tried)
@@ -71,15 +82,16 @@ class Routing:
     def bands(self, size: int) -> range:
         return range(self.band(max(1, -(-size * self.p // self.q))), self.band(size) + 1)
 
-    def keys(self, shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
-        """The keys of a set; ``common`` are the sorted common shingles."""
-        found = []
-        rare = np.ones(len(shingles), np.int64)
+    def keys(self, shingles: np.ndarray, common: np.ndarray, often: np.ndarray | None = None) -> np.ndarray:
+        """The keys of a set; ``common`` are the sorted common shingles, ``often`` their counts."""
+        found, counts = [], np.zeros(len(shingles), np.int64)
         if len(common):
             at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-            rare[common[at] == shingles] = 0
-        rare = np.concatenate([[0], np.cumsum(rare)])
+            met = common[at] == shingles
+            counts[met] = 1 if often is None else often[at[met]]
+        rare = np.concatenate([[0], np.cumsum(counts == 0)])
         sums = np.concatenate([[np.uint64(0)], np.cumsum(_mixed(shingles), dtype=np.uint64)])
+        firsts = None
         for band in self.bands(len(shingles)):
             ranges, spare, starts = self.plan(band)
             cuts = np.append(np.searchsorted(shingles, starts), len(shingles))
@@ -87,9 +99,29 @@ class Routing:
             label = np.arange(ranges, dtype=np.uint64) + np.uint64(band << 40)
             keys = _mixed(content ^ _mixed(label * MIX + (cuts[1:] - cuts[:-1]).astype(np.uint64)))
             strong = rare[cuts[1:]] > rare[cuts[:-1]]
-            found.append(keys if ranges - strong.sum() > spare else keys[strong])
+            found.append(keys[strong] & ~CODE | np.uint64(band))
+            if ranges - strong.sum() > spare:
+                if firsts is None:
+                    size = len(shingles) - -(-len(shingles) * self.p // self.q) + 1
+                    firsts = _mixed(shingles[np.lexsort((shingles, counts))[:size]])
+                found.append(firsts & ~CODE | np.uint64(band) | SINGLE)
         return np.concatenate(found).view(np.int64)
 
+    def enough(self, code: np.ndarray, shared: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """Whether sets of ``n`` and ``m`` shingles with so many keys of a ``code`` in common may link.
+
+        The keys that count are those of the smaller set's band.
+        """
+        small, large = np.minimum(n, m), np.maximum(n, m)
+        code, top = code.astype(np.uint64), self.band(int(small.max(initial=1)))
+        sizes = np.array([self.sizes(band) for band in range(top + 1)])
+        band = np.searchsorted(sizes[:, 0], small, side="right") - 1
+        apart = (small + large) * (self.q - self.p) // (self.q + self.p)
+        least = np.maximum(1, sizes[band, 2] + 1 - apart)
+        least[code & SINGLE > 0] = 1
+        own = (code & CODE & ~SINGLE).astype(np.int64) == band
+        return own & (large * self.p <= small * self.q) & (shared >= least)
+
 
 class Tree:
     """A signature tree: nodes with the OR of their sets' bitmaps and their range of sizes.
@@ -234,12 +266,77 @@ def shingled(docs: DataFrame, words: int) -> DataFrame:
     return map_batches(docs, run, "kind int, id long, n long, node long")
 
 
-def candidate_edges(docs: DataFrame, words: int, routing: Routing, common: np.ndarray) -> DataFrame:
-    """``a, b``: every node with the smallest node under each of its keys.
+def shared_keys(batches):
+    """From ``key, node`` in order: ``a, b, code, n``, pairs of nodes and how many keys they share.
 
-    Nodes that share a key are thereby in one component, without pairs of them being formed.
+    ``code`` is that of the keys. Where over ``PAIRED`` nodes share a key, each is paired with the
+    smallest alone, under code -1.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+
+    def grouped(keys, nodes):
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        sizes = np.diff(np.append(starts, len(keys)))
+        place = np.arange(len(keys)) - np.repeat(starts, sizes)
+        hot = np.repeat(sizes > PAIRED, sizes)
+        rest = np.flatnonzero(hot & (place > 0))
+        yield nodes[rest - place[rest]], nodes[rest], np.full(len(rest), -1)
+        code = (keys.view(np.uint64) & CODE).astype(np.int64)
+        rest = np.flatnonzero(~hot & (place > 0))
+        step = 1
+        while len(rest):
+            yield nodes[rest - step], nodes[rest], code[rest]
+            step += 1
+            rest = rest[place[rest] >= step]
+
+    def counted(pairs):
+        a, b, code = (np.concatenate(x) for x in zip(*pairs))
+        order = np.lexsort((code, b, a))
+        a, b, code = a[order], b[order], code[order]
+        new = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (code[1:] != code[:-1])
+        starts = np.flatnonzero(np.append(True, new)) if len(a) else np.zeros(0, int)
+        n = np.diff(np.append(starts, len(a)))
+        for at in range(0, len(n), 50_000):
+            part = starts[at : at + 50_000]
+            yield {"a": a[part], "b": b[part], "code": code[part], "n": n[at : at + 50_000]}
+
+    waiting, rows, pairs = [], 0, []
+
+    def taken(last: bool) -> None:
+        """Pairs the waiting rows; those of a key that may go on wait again, the first of a hot one."""
+        keys, nodes = (np.concatenate(x) for x in zip(*waiting))
+        new = np.append(True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1]))
+        keys, nodes = keys[new], nodes[new]
+        start = np.searchsorted(keys, keys[-1])
+        end = len(keys) if last or len(keys) - start > PAIRED else start
+        pairs.extend(grouped(keys[:end], nodes[:end]))
+        kept = slice(start, start + PAIRED + 1)
+        waiting[:] = [(keys[kept], nodes[kept])]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        waiting.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        rows += batch.num_rows
+        if rows >= SORTED_ROWS:
+            taken(False)
+            rows = len(waiting[0][0])
+            if sum(len(a) for a, _, _ in pairs) >= 5 * SORTED_ROWS:
+                yield from counted(pairs)
+                pairs.clear()
+    if waiting:
+        taken(True)
+        yield from counted(pairs)
+
+
+def candidate_edges(
+    docs: DataFrame, nodes: DataFrame, words: int, routing: Routing, common: np.ndarray, often: np.ndarray
+) -> DataFrame:
+    """``a, b``: every pair of nodes that share so many keys that they may link.
+
+    Of nodes under a key that very many share, each is paired with the smallest, so that all of
+    them are in one component, without their pairs being formed.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((common, often))
 
     def run(batches):
         seen: set[int] = set()  # copies within a part of the task
@@ -252,19 +349,27 @@ def candidate_edges(docs: DataFrame, words: int, routing: Routing, common: np.nd
                 if len(seen) >= 200_000:
                     seen.clear()
                 seen.add(node)
-                keys.append(routing.keys(shingles, shared.value))
+                keys.append(routing.keys(shingles, *shared.value))
                 nodes.append(np.full(len(keys[-1]), node))
             if keys:
                 yield {"key": np.concatenate(keys), "node": np.concatenate(nodes)}
 
-    rows = map_batches(docs, run, "key long, node long")
-    hub = F.min("node").over(Window.partitionBy("key"))
-    return (
-        rows.withColumn("hub", hub)
-        .filter("hub <> node")
-        .select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        .distinct()
+    def close(batches):
+        for batch in batches:
+            a, b, code, n, n_a, n_b = (c.to_numpy() for c in batch.columns)
+            kept = (code < 0) | routing.enough(code, n, n_a, n_b)
+            yield {"a": a[kept], "b": b[kept]}
+
+    rows = map_batches(docs, run, "key long, node long").repartition("key")
+    pairs = map_batches(
+        rows.sortWithinPartitions("key", "node"), shared_keys, "a long, b long, code int, n long"
     )
+    pairs = pairs.groupBy("a", "b", "code").agg(F.sum("n").alias("n"))
+    for name in ("a", "b"):
+        sizes = nodes.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"))
+        pairs = pairs.join(sizes, name)
+    pairs = pairs.select("a", "b", "code", "n", "n_a", "n_b")
+    return map_batches(pairs, close, "a long, b long").distinct()
 
 
 def link_edges(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, words: int, p: int, q: int) -> DataFrame:
@@ -348,9 +453,11 @@ def join(
     base = rows.filter("kind = 0").select(F.col("id").alias("doc_id"), "n", "node")
     usual = (
         rows.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT_LEAST)
-        .orderBy(F.desc("n"), "id").limit(HOT_MOST).select("id").toArrow()
+        .orderBy(F.desc("n"), "id").limit(HOT_MOST).toArrow()
     )
-    common = np.sort(usual["id"].to_numpy().view(np.uint64))
+    common, often = usual["id"].to_numpy().view(np.uint64), usual["n"].to_numpy()
+    order = np.argsort(common)
+    common, often = common[order], often[order]
     named = source.filter("doc_id IS NOT NULL")
     nodes = written(
         base.filter("doc_id IS NOT NULL AND node IS NOT NULL")
@@ -358,7 +465,7 @@ def join(
         .agg(F.max("n").alias("n"), F.min("doc_id").alias("first_id")),
         "nodes",
     )
-    clusters = components(candidate_edges(named, words, Routing(p, q), common))
+    clusters = components(candidate_edges(named, nodes, words, Routing(p, q), common, often))
     linked_nodes = components(link_edges(named, nodes, written(clusters, "clusters"), words, p, q))
     roots = nodes.join(linked_nodes, "node", "left").select(
         "node", "first_id", F.coalesce("root", "node").alias("root")

@@ -2,8 +2,10 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyfold.llm import jaccard
@@ -186,3 +188,71 @@ def test_components_equal_union_find(spark):
         root[high] = low
     touched = {x for a, b in edges if a != b for x in (a, b)}
     assert found == {x: find(x) for x in touched}
+
+
+def test_unrelated_documents_form_no_clusters(spark, monkeypatch):
+    rng, rows, placed = random.Random(5), [], []
+    passages = [[f"p{i}x{j}" for j in range(50)] for i in range(20)]
+    for i in range(300):  # short sets of which no two are alike
+        rows.append((i, " ".join(f"s{rng.randrange(10**6)}" for _ in range(rng.randrange(6, 40)))))
+    for i in range(300, 400):  # long ones with passages in common, the last two near copies
+        parts = [[f"l{rng.randrange(10**6)}" for _ in range(400)], *rng.sample(passages, 4)]
+        rows.append((i, " ".join(sum(parts, [])) if i < 399 else rows[-1][1] + " more"))
+    inner = jaccard.written
+
+    def written(df, label, **options):
+        made = inner(df, label, **options)
+        if label == "clustered":
+            placed.extend(made.collect())
+        return made
+
+    monkeypatch.setattr(jaccard, "written", written)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 50)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard.join(docs).collect()}
+    assert found == {i: min(i, 398) for i in range(400)}
+    assert sum(r.blocks for r in placed) < 20  # copies of sets that are sent to be compared
+
+
+@pytest.mark.parametrize("p, q", [(90, 100), (8, 10)])
+def test_similar_sets_share_enough_keys(p, q):
+    rng = np.random.default_rng(4)
+    routing, pairs = jaccard.Routing(p, q), 0
+    for size in (1, 2, 5, 9, 12, 19, 20, 40, 100, 151, 400, 1500):
+        for _ in range(40):
+            base = np.unique(rng.integers(0, 2**63, size).astype(np.uint64) * np.uint64(2))
+            room = int(len(base) * (q - p) / p) + 1
+            other = np.union1d(base[rng.integers(0, room + 1) :], rng.integers(0, 2**63, rng.integers(0, room + 1)).astype(np.uint64))
+            both = len(np.intersect1d(base, other))
+            if not len(other) or q * both < p * (len(base) + len(other) - both):
+                continue
+            common = base[rng.random(len(base)) < rng.choice([0, 0.3, 0.9, 1])]
+            often = rng.integers(64, 99, len(common))
+            shared = np.intersect1d(routing.keys(base, common, often), routing.keys(other, common, often))
+            code, n = np.unique(shared.view(np.uint64) & jaccard.CODE, return_counts=True)
+            assert routing.enough(code.astype(int), n, np.full(len(n), len(base)), np.full(len(n), len(other))).any()
+            pairs += 1
+    assert pairs > 100
+
+
+@pytest.mark.parametrize("paired, sorted_rows", [(64, 200_000), (3, 7), (3, 200_000), (64, 7)])
+def test_shared_keys_are_counted(monkeypatch, paired, sorted_rows):
+    monkeypatch.setattr(jaccard, "PAIRED", paired)
+    monkeypatch.setattr(jaccard, "SORTED_ROWS", sorted_rows)
+    rng = np.random.default_rng(6)
+    rows = sorted((int(k) * 128 + int(k) % 3, int(n)) for k, n in zip(rng.integers(-9, 30, 400), rng.integers(0, 40, 400) ** 2 // 40))
+    batch = lambda part: pa.RecordBatch.from_pylist([{"key": k, "node": n} for k, n in part], pa.schema([("key", pa.int64()), ("node", pa.int64())]))
+    found = Counter()
+    for out in jaccard.shared_keys(batch(rows[at : at + 5]) for at in range(0, 400, 5)):
+        for a, b, code, n in zip(out["a"], out["b"], out["code"], out["n"]):
+            found[int(a), int(b), int(code)] += 1 if code < 0 else int(n)
+    expected, stars = Counter(), set()
+    for key in {k for k, _ in rows}:
+        nodes = sorted({n for k, n in rows if k == key})
+        if len(nodes) > paired:
+            stars |= {(nodes[0], n, -1) for n in nodes[1:]}
+        else:
+            expected.update((a, b, key % 128) for x, a in enumerate(nodes) for b in nodes[x + 1 :])
+    assert {k for k in found if k[2] < 0} == stars
+    assert {k: n for k, n in found.items() if k[2] >= 0} == dict(expected)
+    assert list(jaccard.shared_keys([batch([])])) == []

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfold import schemas as S
-from tallyfold.session import new_path
+from tallyfold.session import new_path, written
 from tallyfold.sources.tables import SchemaMismatch, read_history, write_history
 
 
@@ -56,3 +56,16 @@ def test_other_schema_version_is_refused(spark):
 def test_unknown_storage_mode_is_refused(spark):
     with pytest.raises(ValueError):
         write_history(transitions(spark), new_path(spark, "x"), storage_mode="sharded")
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    before = shuffled()
+    written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert shuffled() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
